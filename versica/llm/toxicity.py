@@ -1,16 +1,18 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, distance-weighted votes.
 
 fit() learns from labelled rows only, at most EXAMPLES of each class (those first by a hash of doc_id), none held out:
-  - features are words and word beginnings (letters only, lower case); the VOCABULARY ones most associated with label 1 by
-    chi-square are kept;
+  - features are words, word beginnings (letters only, lower case), and either of them found 2, 3 or 5 times; the VOCABULARY
+    ones most associated with label 1 by chi-square are kept, if enough examples have them;
   - document frequencies of those are counted over all documents;
-  - examples become unit TF-IDF vectors in an inverted index of blocks of BLOCK examples with each term's largest weight;
+  - examples become unit TF-IDF vectors; one more term, which every text has as often as it has words, stands for all other
+    words, so that a text with one hit in many words is near clean texts;
+  - equal vectors are one entry of the inverted index; entries lie in blocks of BLOCK with each term's largest weight;
   - votes are calibrated by isotonic regression on the examples' own votes, each without itself.
 score() finds every text's K nearest examples exactly: blocks are visited from the largest upper bound down, until none can
 reach the K-th cosine. Votes are weighted by cosine and by how many labelled rows of its class an example stands for.
 
-Labels, lang, source and doc_id are no inputs of a score. Defined cases: a null or empty text, and one without known features,
-gets the calibrated base rate of such examples; equal cosines: the smaller doc_id is nearer; several labels of a doc_id: the
+Labels, lang, source and doc_id are no inputs of a score. Defined cases: a null or empty text is scored like one
+without known features; equal cosines: the smaller doc_id is nearer; several labels of a doc_id: the
 largest counts; null labels are no labels; without labels of both classes every score is the share of label 1 (0 if none);
 repeated rows come out repeated; a null doc_id is scored, and not held out; empty tables give no rows.
 """
@@ -31,10 +33,12 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, Stru
 
 from versica.llm.common import id_text, stored
 
-EXAMPLES, VOCABULARY, BLOCK, K = 3000, 1024, 64, 15
+EXAMPLES, VOCABULARY, BLOCK, K = 3000, 1024, 16, 15
+#: A feature needs this chi-square, and this share of label-1 examples.
+CHI, SUPPORT = 30.0, 0.01
 FOLDS = 5
 _WORD = re.compile(r"[^\W\d_]+")
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS, REPEATS = (4, 5, 6), (2, 3, 5)
 
 
 def features_of(word: str) -> list[str]:
@@ -47,105 +51,119 @@ def held_out(doc_id: str):
 
 
 def isotonic(x: list[float], y: list[float], w: list[float]) -> tuple[list[float], list[float]]:
-    """Pool-adjacent-violators: (upper ends of steps, their values), both ascending."""
-    pools: list[list[float]] = []
-    for v, t, c in sorted(zip(x, y, w, strict=True)):
-        if pools and pools[-1][0] == v:
-            pools[-1][1] += t * c
-            pools[-1][2] += c
-        else:
-            pools.append([v, t * c, c])
-    out: list[list[float]] = []
-    for p in pools:
-        out.append(p)
+    """Pool-adjacent-violators: (mean x of pools, their values), both ascending; what lies between is interpolated."""
+    at: dict[float, np.ndarray] = {}
+    for v, t, c in zip(x, y, w, strict=True):
+        at[v] = at.get(v, 0) + np.array([v * c, t * c, c])
+    out: list[np.ndarray] = []
+    for v in sorted(at):
+        out.append(at[v])
         while len(out) > 1 and out[-2][1] / out[-2][2] >= out[-1][1] / out[-1][2]:
             top = out.pop()
-            out[-1] = [top[0], out[-1][1] + top[1], out[-1][2] + top[2]]
-    return [p[0] for p in out], [p[1] / p[2] for p in out]
+            out[-1] = out[-1] + top
+    return [float(p[0] / p[2]) for p in out], [float(p[1] / p[2]) for p in out]
 
 
 class Index:
     """Labelled examples as a block-max inverted index. vectors: for each example {term: weight}, of length 1."""
 
     def __init__(self, ids: list[int], labels: list[int], vectors: list[dict[int, float]], weights: tuple[float, float], terms: int):
-        self.ids, self.labels, self.weights = ids, labels, weights
-        self.blocks = -(-len(ids) // BLOCK)
-        postings: list[list[tuple[int, float]]] = [[] for _ in range(terms)]
-        for i, v in enumerate(vectors):
-            for t, x in v.items():
-                postings[t].append((i, x))
-        self.at = [np.array([i for i, _ in p], np.int64) for p in postings]
-        self.weight = [np.array([x for _, x in p]) for p in postings]
-        self.first = [np.searchsorted(a, np.arange(self.blocks + 1) * BLOCK) for a in self.at]
-        self.most = np.zeros((terms, max(1, self.blocks)))
-        for t in range(terms):
-            np.maximum.at(self.most[t], self.at[t] // BLOCK, self.weight[t])
-
-    def nearest(self, query: dict[int, float], k: int = K, without: int = -1) -> list[tuple[float, int]]:
-        """The k nearest examples with a cosine over 0, as (cosine, example); without: an example left out."""
+        self.weights, self.terms = weights, terms
+        entries: dict[tuple, list[tuple[int, int]]] = {}
+        for i, y, v in sorted(zip(ids, labels, vectors, strict=True), key=lambda x: x[0]):
+            entries.setdefault(tuple(sorted(v.items())), []).append((i, y))
+        # entries with the same heaviest terms lie together, which keeps the blocks' bounds tight
+        order = sorted(entries, key=lambda v: [t for t, _ in sorted(v, key=lambda x: (-x[1], x[0]))[:3]])
+        self.members = [entries[v] for v in order]
+        self.blocks: list[tuple[np.ndarray, np.ndarray]] = []
+        self.most = np.zeros((terms, max(1, -(-len(order) // BLOCK))))
+        for b in range(0, len(order), BLOCK):
+            own = order[b : b + BLOCK]
+            here = sorted({t for v in own for t, _ in v})
+            rows = {t: k for k, t in enumerate(here)}
+            postings = np.zeros((len(here), len(own)))
+            for j, v in enumerate(own):
+                for t, x in v:
+                    postings[rows[t], j] = x
+            self.most[here, len(self.blocks)] = postings.max(axis=1)
+            self.blocks.append((np.array(here), postings))
+
+    def nearest(self, query: dict[int, float], k: int = K, without: int | None = None) -> list[tuple[float, int, int]]:
+        """The k nearest examples with a cosine over 0, as (cosine, doc_id, label); without: the doc_id of one left out."""
         if not query or not self.blocks:
             return []
         terms, q = list(query), np.array(list(query.values()))
         bounds = q @ self.most[terms]
-        best: list[tuple[float, int]] = []
+        dense = np.zeros(self.terms)
+        dense[terms] = q
+        best: list[tuple[float, int, int]] = []
         for block in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[block] <= 0 or (len(best) == k and bounds[block] < best[-1][0] - 1e-9):
+            if bounds[block] <= 0 or (len(best) == k and bounds[block] < best[-1][0] - 1e-8):
                 break
-            cosines = np.zeros(BLOCK)
-            for t, x in zip(terms, q, strict=True):
-                lo, hi = self.first[t][block], self.first[t][block + 1]
-                cosines[self.at[t][lo:hi] - block * BLOCK] += x * self.weight[t][lo:hi]
-            found = [(round(float(cosines[i]), 9), block * BLOCK + int(i)) for i in np.flatnonzero(cosines) if block * BLOCK + i != without]
-            best = sorted(best + found, key=lambda x: (-x[0], x[1]))[:k]
+            here, postings = self.blocks[block]
+            cosines = np.round(dense[here] @ postings, 9)
+            for j in np.flatnonzero(cosines >= max(1e-9, best[-1][0] if len(best) == k else 0)).tolist():
+                members = self.members[block * BLOCK + j]
+                best += [(float(cosines[j]), i, y) for i, y in members[: k + 1] if i != without]
+                best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
         return best
 
-    def vote(self, near: list[tuple[float, int]]) -> float:
+    def vote(self, near: list[tuple[float, int, int]]) -> float:
         by = [0.0, 0.0]
-        for cosine, i in near:
-            by[self.labels[i]] += cosine * self.weights[self.labels[i]]
+        for cosine, _, y in near:
+            by[y] += cosine * self.weights[y]
         return by[1] / (by[0] + by[1])
 
 
 class Model:
-    def __init__(self, terms: dict[str, int], idf: np.ndarray, index: Index | None, none: float, steps: tuple[list[float], list[float]]):
-        self.terms, self.idf, self.index, self.none, self.steps = terms, idf, index, none, steps
-        self.known: dict[str, tuple[int, ...]] = {}
+    """terms: the vocabulary, in order; its number of terms is that of the term for all words."""
+
+    def __init__(self, terms: list[str], share: float):
+        self.terms, self.share = {f: i for i, f in enumerate(terms)}, share
+        self.idf, self.index, self.steps = np.zeros(0), None, ([], [])
+        self.least: dict[str, list[tuple[int, int]]] = {}  # of each word or beginning: (times, term)
+        for i, f in enumerate(terms):
+            base, _, times = f.partition("#")
+            self.least.setdefault(base, []).append((int(times or 1), i))
+        self.known: dict[str, list[str]] = {}
         self.scores: dict[tuple, tuple[float, list[int]]] = {}
 
-    def vector(self, text: str) -> dict[int, float]:
-        """The unit TF-IDF vector of a text; {} if it has no term."""
-        counts: Counter[int] = Counter()
-        known, terms = self.known, self.terms
-        for word, n in Counter(_WORD.findall(text.lower())).items():
-            own = known.get(word)
+    def counts(self, text: str) -> tuple[dict[int, int], int]:
+        """({term: times}, number of words) of a text."""
+        counts: Counter[str] = Counter()
+        words = _WORD.findall(text.lower())
+        for word, n in Counter(words).items():
+            own = self.known.get(word)
             if own is None:
-                own = tuple(terms[f] for f in features_of(word) if f in terms)
-                if len(known) < 200_000:
-                    known[word] = own
-            for t in own:
-                counts[t] += n
-        return self.unit(counts)
-
-    def unit(self, counts: dict[int, int]) -> dict[int, float]:
+                own = [f for f in features_of(word) if f in self.least]
+                if len(self.known) < 200_000:
+                    self.known[word] = own
+            for f in own:
+                counts[f] += n
+        return {t: n if times == 1 else 1 for f, n in counts.items() for times, t in self.least[f] if n >= times}, len(words)
+
+    def unit(self, counts: dict[int, int], words: int) -> dict[int, float]:
         v = {t: (1 + math.log(n)) * float(self.idf[t]) for t, n in sorted(counts.items())}
+        v[len(self.terms)] = round(1 + math.log(max(1, words)), 1)  # found in every text: an idf of 1
         norm = math.sqrt(sum(x * x for x in v.values()))
         return {t: x / norm for t, x in v.items()}
 
     def calibrated(self, vote: float) -> float:
-        ends, values = self.steps
-        return values[min(int(np.searchsorted(ends, vote)), len(values) - 1)]
+        return float(np.interp(vote, *self.steps))
 
     def score(self, text: str) -> tuple[float, list[int]]:
         """(score, doc_ids of the nearest examples)."""
-        v = self.vector(text)
+        if self.index is None:
+            return self.share, []
+        v = self.unit(*self.counts(text))
         key = tuple(v.items())
-        if key not in self.scores:
-            near = self.index.nearest(v) if self.index else []
-            out = (self.calibrated(self.index.vote(near)), [self.index.ids[i] for _, i in near]) if near else (self.none, [])
-            if len(self.scores) >= 20_000:
-                return out
+        if key in self.scores:
+            return self.scores[key]
+        near = self.index.nearest(v)
+        out = self.calibrated(self.index.vote(near)), [i for _, i, _ in near]
+        if len(self.scores) < 50_000:
             self.scores[key] = out
-        return self.scores[key]
+        return out
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,30 +173,23 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for text in b.column("text").to_pylist():
             counts: Counter[str] = Counter()
-            for word, n in Counter(_WORD.findall(text.lower())).items():
+            words = Counter(_WORD.findall(text.lower()))
+            for word, n in words.items():
                 for f in features_of(word):
                     counts[f] += n
-            out.append(counts)
+            repeated = {f"{f}#{k}": 1 for f, n in counts.items() for k in REPEATS if n >= k}
+            out.append({**counts, **repeated, "": words.total()})
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic").cast(pa.int32()), pa.array([list(c) for c in out], kind.field(2).type), pa.array([list(c.values()) for c in out], kind.field(3).type)], schema=kind)
 
 
-def _frequencies(terms: dict[str, int]):
+def _frequencies(model: Model):
     """Documents with each term, over a task's documents; term -1 counts documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[int] = Counter()
-        known: dict[str, tuple[int, ...]] = {}
         for b in batches:
             for text in b.column("text").to_pylist():
-                own: set[int] = {-1}
-                for word in set(_WORD.findall(text.lower())):
-                    got = known.get(word)
-                    if got is None:
-                        got = tuple(terms[f] for f in features_of(word) if f in terms)
-                        if len(known) < 200_000:
-                            known[word] = got
-                    own.update(got)
-                counts.update(own)
+                counts.update([-1, *model.counts(text)[0]])
         if counts:
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()), pa.array(list(counts.values()), pa.int64())], ["term", "n"])
 
@@ -203,7 +214,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, vocabulary
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") > 0).cast("int").alias("toxic")).where(~held_out("doc_id"))
     totals = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     share = totals.get(1, 0) / max(1, sum(totals.values()))
-    empty = Model({}, np.zeros(0), None, share, ([], []))
+    empty = Model([], share)
     if len(totals) < 2:
         return empty
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -218,29 +229,28 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, vocabulary
     # chi-square of the two by two table, for features that are more frequent with label 1
     off = F.col("a") * every - F.col("all") * ones
     chi = every * off * off / (F.col("all") * (every - F.col("all")) * ones * (every - ones))
-    best = found.where((off > 0) & (F.col("a") >= 2) & (F.col("all") < every)).withColumn("chi", chi).where("chi >= 10").orderBy(F.desc("chi"), "feature").limit(vocabulary).collect()
-    terms = {r.feature: i for i, r in enumerate(best)}
+    best = found.where((F.col("feature") != "") & (off > 0) & (F.col("a") >= max(2, SUPPORT * n[1])) & (F.col("all") < every)).withColumn("chi", chi).where(F.col("chi") >= CHI)
+    terms = [r.feature for r in best.orderBy(F.desc("chi"), "feature").limit(vocabulary).collect()]
     if not terms:
         return empty
-    df = {r.term: r.n for r in rows.select("text").mapInArrow(_frequencies(terms), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    idf = np.log((df.get(-1, 0) + 1) / (np.array([df.get(i, 0) for i in range(len(terms))]) + 1)) + 1
-    model = Model(terms, idf, None, share, ([], []))
-    vectors = sample.mapInArrow(_known(terms), "doc_id long, toxic int, term array<int>, n array<int>").orderBy("doc_id").collect()  # terms of the vocabulary only
+    model = Model(terms, share)
+    df = {r.term: r.n for r in rows.select("text").mapInArrow(_frequencies(model), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    model.idf = np.log((df.get(-1, 0) + 1) / (np.array([df.get(i, 0) for i in range(len(terms))]) + 1)) + 1
+    vectors = sample.mapInArrow(_known({**model.terms, "": -1}), "doc_id long, toxic int, term array<int>, n array<int>").orderBy("doc_id").collect()  # terms of the vocabulary only
     weights = (totals[0] / n[0], totals[1] / n[1])
-    ids, marks, kept, bare = [], [], [], [0.0, 0.0]
+    ids, marks, units = [r.doc_id for r in vectors], [r.toxic for r in vectors], []
     for r in vectors:
-        v = model.unit(dict(zip(r.term, r.n, strict=True)))
-        if v:
-            ids.append(r.doc_id)
-            marks.append(r.toxic)
-            kept.append(v)
-        else:
-            bare[r.toxic] += weights[r.toxic]
-    model.none = (bare[1] + share) / (bare[0] + bare[1] + 1)
-    model.index = Index(ids, marks, kept, weights, len(terms))
-    own = [model.index.nearest(v, without=i) for i, v in enumerate(kept)]
-    own_votes = [(model.index.vote(near), float(marks[i]), weights[marks[i]]) for i, near in enumerate(own) if near]
-    model.steps = isotonic(*map(list, zip(*own_votes, strict=True))) if own_votes else ([1.0], [share])
+        counts = dict(zip(r.term, r.n, strict=True))
+        units.append(model.unit({t: k for t, k in counts.items() if t >= 0}, counts[-1]))
+    model.index = Index(ids, marks, units, weights, len(terms) + 1)
+    votes: dict[tuple, float] = {}  # examples alike in vector and label have the same vote without themselves, but for ties
+    own = []
+    for i, y, v in zip(ids, marks, units, strict=True):
+        key = (y, *v.items())
+        if key not in votes:
+            votes[key] = model.index.vote(near) if (near := model.index.nearest(v, without=i)) else float(y)
+        own.append((votes[key], float(y), weights[y]))
+    model.steps = isotonic(*map(list, zip(*own, strict=True)))
     return model
 
 
