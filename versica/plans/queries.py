@@ -108,9 +108,9 @@ def author_lookup_fallback(spark, sf):
     return search.by_author(a, "Customer#000000007").select("author_id", "level")
 
 
-@query("SELECT p_partkey, p_name FROM part WHERE p_name = 'part_7' OR (NOT EXISTS (SELECT 1 FROM part WHERE p_name = 'part_7') AND contains(p_name, 'part_7'))")
+@query("SELECT p_partkey, p_name FROM part WHERE p_name = 'ring' OR (NOT EXISTS (SELECT 1 FROM part WHERE p_name = 'ring') AND contains(p_name, 'ring'))")
 def title_eq_then_substring(spark, sf):
-    return search.by_title(table(spark, sf, "part").select("p_partkey", "p_name"), "part_7", "p_name")
+    return search.by_title(table(spark, sf, "part").select("p_partkey", "p_name"), "ring", "p_name")
 
 
 @query("WITH hit AS (SELECT * FROM documents WHERE lower(text) LIKE '%idiot%'), t AS (SELECT * FROM documents WHERE contains(source, 'idiot')) SELECT doc_id AS work_id FROM hit UNION ALL SELECT doc_id FROM t WHERE NOT EXISTS (SELECT 1 FROM hit)")
