@@ -31,6 +31,7 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role|style|aria-hidden|hidden|data-y)\b(?:
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 SKIPPED = frozenset("script style noscript template iframe object svg math canvas audio video textarea select option button title xmp noframes".split())
+UNSEEN = frozenset("script style noscript template".split())  # skipped, and no end of a block
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 FURNITURE = frozenset("nav aside footer form menu dialog head".split())
@@ -91,7 +92,7 @@ def blocks(page: str) -> list[dict]:
         if tag is None:
             continue
         tag, end, rest = tag.lower(), m["end"] or m["end2"], m["rest"] or m["rest2"] or ""
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in UNSEEN:
             flush()
         elif tag == "br":
             parts.append(" ")

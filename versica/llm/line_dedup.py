@@ -89,24 +89,27 @@ def _hashes(least: int):
     return run
 
 
-def _filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    once: dict[int, np.ndarray] = {}
-    twice: dict[int, np.ndarray] = {}
-    for b in batches:
-        s, h = b.column("slice").to_numpy(), b.column("h").to_numpy().view(np.uint64)
-        for k in np.unique(s):
-            if k not in once:
-                once[k], twice[k] = np.zeros(ONCE_BITS // 8, np.uint8), np.zeros(SLICE_BITS // 8, np.uint8)
-            own, n = np.unique(h[s == k], return_counts=True)
-            at = _positions(own, ONCE_BITS)
-            again = (n > 1) | _has(once[k], at)
-            _put(once[k], at)
-            _put(twice[k], _positions(own[again], SLICE_BITS))
-    for k, f in twice.items():
-        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(f.tobytes(), 1)], pa.binary())], ["slice", "bits"])
-
-
-def _suspects(least: int, filters):
+def _filters(slice_bits: int, once_bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once: dict[int, np.ndarray] = {}
+        twice: dict[int, np.ndarray] = {}
+        for b in batches:
+            s, h = b.column("slice").to_numpy(), b.column("h").to_numpy().view(np.uint64)
+            for k in np.unique(s):
+                if k not in once:
+                    once[k], twice[k] = np.zeros(once_bits // 8, np.uint8), np.zeros(slice_bits // 8, np.uint8)
+                own, n = np.unique(h[s == k], return_counts=True)
+                at = _positions(own, once_bits)
+                again = (n > 1) | _has(once[k], at)
+                _put(once[k], at)
+                _put(twice[k], _positions(own[again], slice_bits))
+        for k, f in twice.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(f.tobytes(), 1)], pa.binary())], ["slice", "bits"])
+
+    return run
+
+
+def _suspects(least: int, filters, slice_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = {k: np.frombuffer(zlib.decompress(v), np.uint8) for k, v in filters.value.items()}
         for b in batches:
@@ -122,7 +125,7 @@ def _suspects(least: int, filters):
                 hit, s = np.zeros(len(h), bool), _slice_of(h)
                 for k in np.unique(s):
                     if k in own:
-                        hit[s == k] = _has(own[k], _positions(h[s == k], SLICE_BITS))
+                        hit[s == k] = _has(own[k], _positions(h[s == k], slice_bits))
                 at = np.flatnonzero(hit)
                 if len(at):
                     yield pa.RecordBatch.from_arrays([pa.array([keys[i] for i in at], pa.binary()), pa.array(np.array(ids, np.int64)[at])], ["key", "doc_id"])
@@ -130,13 +133,13 @@ def _suspects(least: int, filters):
     return run
 
 
-def confirmed(docs: DataFrame, least: int = 20, docs_least: int = 3) -> tuple[DataFrame, DataFrame]:
+def confirmed(docs: DataFrame, least: int = 20, docs_least: int = 3, slice_bits: int = SLICE_BITS, once_bits: int = ONCE_BITS) -> tuple[DataFrame, DataFrame]:
     """(suspected lines (key, doc_id), confirmed repeats (key, keep_doc)) of docs(doc_id, text)."""
     spark = docs.sparkSession
     hashes = docs.mapInArrow(_hashes(least), "slice int, h long")
-    slices = hashes.repartition(SLICES, "slice").mapInArrow(_filters, "slice int, bits binary").collect()  # of fixed size
+    slices = hashes.repartition(SLICES, "slice").mapInArrow(_filters(slice_bits, once_bits), "slice int, bits binary").collect()  # of fixed size
     filters = spark.sparkContext.broadcast({r.slice: bytes(r.bits) for r in slices})
-    lines = docs.mapInArrow(_suspects(least, filters), "key binary, doc_id long")
+    lines = docs.mapInArrow(_suspects(least, filters, slice_bits), "key binary, doc_id long")
     # a document may come as several equal rows: (key, doc_id) is made distinct before keys are counted
     repeats = lines.distinct().groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("keep_doc")).where(F.col("n") >= docs_least)
     return lines, stored(repeats.select("key", "keep_doc"), "repeats")
@@ -171,10 +174,10 @@ def _digest(key: bytes) -> bytes:
     return xxhash.xxh3_128_digest(key)
 
 
-def dedup_lines(docs: DataFrame, least: int = 20, docs_least: int = 3, id_col: str = "doc_id", text_col: str = "text", broadcast: int = BROADCAST) -> DataFrame:
+def dedup_lines(docs: DataFrame, least: int = 20, docs_least: int = 3, id_col: str = "doc_id", text_col: str = "text", broadcast: int = BROADCAST, slice_bits: int = SLICE_BITS, once_bits: int = ONCE_BITS) -> DataFrame:
     """docs with rewritten texts and two more columns, _n_lines and _n_dropped; other columns stay as they are."""
     spark = docs.sparkSession
-    lines, repeats = confirmed(id_text(docs, id_col, text_col), least, docs_least)
+    lines, repeats = confirmed(id_text(docs, id_col, text_col), least, docs_least, slice_bits, once_bits)
     out = StructType(docs.schema.fields + StructType().add("_n_lines", LongType()).add("_n_dropped", LongType()).fields)
     schema = to_arrow_schema(out)
     if repeats.count() <= broadcast:

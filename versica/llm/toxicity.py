@@ -13,7 +13,8 @@ reach the K-th cosine. Votes are weighted by cosine and by how many labelled row
 
 Labels, lang, source and doc_id are no inputs of a score. Defined cases: a null or empty text is scored like one
 without known features; equal cosines: the smaller doc_id is nearer; several labels of a doc_id: the
-largest counts; null labels are no labels; without labels of both classes every score is the share of label 1 (0 if none);
+largest counts; null labels are no labels; without labels of both classes, or features that tell them, every score is the share
+of label 1, of two more labels than there are (0 if none is 1);
 repeated rows come out repeated; a null doc_id is scored, and not held out; empty tables give no rows.
 """
 
@@ -213,7 +214,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, vocabulary
     rows = id_text(docs, id_col, text_col)
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") > 0).cast("int").alias("toxic")).where(~held_out("doc_id"))
     totals = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
-    share = totals.get(1, 0) / max(1, sum(totals.values()))
+    share = totals.get(1, 0) / (sum(totals.values()) + 2)
     empty = Model([], share)
     if len(totals) < 2:
         return empty
