@@ -32,6 +32,8 @@ from pyspark.sql.window import Window as W
 from versica.llm.common import binary, components, id_text, stored
 
 SEED, CAP = 42, 64
+#: Fingerprint words for similarity thresholds: 1024 bits tell similarities to within about 0.03.
+WORDS = 16
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)[None, :]) & 1).astype(np.float64)
 
 
@@ -157,14 +159,17 @@ def segment_plan(n: int, similarity: float, recall: float) -> tuple[int, int]:
     return math.ceil(math.log(1 - recall) / math.log(1 - meet)), width
 
 
-def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, recall: float = 0.88, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, group_id of documents that have near duplicates, or copies; group_id is the smallest doc_id of the group."""
+def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, recall: float = 0.93, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, group_id for every document with an id; group_id is the smallest doc_id of its group of near duplicates.
+
+    Two texts are linked if their fingerprints meet in a segment and differ in no more bits than sets of this similarity do on
+    average, and one and a half standard deviations; recall is that of the segments, at exactly this similarity."""
     rows = id_text(docs, id_col, text_col).where("doc_id IS NOT NULL")
     n = rows.count()
     segments, width = segment_plan(n, similarity, recall)
-    words = max(6, -(-segments * width // 64))
+    words = max(WORDS, -(-segments * width // 64))
     p = differing(similarity)
-    most = math.floor(64 * words * (p + 0.6 * math.sqrt(p * (1 - p) / (64 * words))))
+    most = math.floor(64 * words * (p + 1.5 * math.sqrt(p * (1 - p) / (64 * words))))
     few = math.ceil(64 * (p + 4 * math.sqrt(p * (1 - p) / 64)))
     of = stored(fingerprints(rows, shingle, words, segments, width), "fingerprints")
     print_ = [f"fp{k}" for k in range(words)]
