@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from versica.functions import ids, score, script, similarity
-from versica.operators import catalog, extras, genre, matching, quality, ranking, sampling, search, store
+from versica.operators import catalog, extras, genre, matching, quality, ranking, reports, sampling, search, store
 from versica.sources import html, paths
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -601,3 +601,82 @@ def catalogue_three_tables(spark, sf):
     first = r.orderBy("r_name").limit(1).select(F.col("r_regionkey").alias("n_regionkey"))
     of = c.join(n.join(first, "n_regionkey", "left_semi"), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
     return o.join(of, F.col("o_custkey") == F.col("c_custkey")).groupBy("n_name").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {LADDER} SELECT cause, count(*) AS n_authors, CAST(sum(works) AS BIGINT) AS n_works FROM l WHERE cause IS NOT NULL GROUP BY cause")
+def biography_causes(spark, sf):
+    return reports.causes(ladder(spark, sf))
+
+
+@query(f"WITH {LADDER} SELECT name, dynasty, works FROM l WHERE rung = 'stub' ORDER BY works DESC, name, dynasty LIMIT 15")
+def top_unresolved(spark, sf):
+    """The first fifteen are the feature here."""
+    return reports.unresolved(ladder(spark, sf)).select("name", "dynasty", "works")
+
+
+@query("SELECT o_orderpriority, count(*) AS n, round(100 * count(*) / sum(count(*)) OVER (), 3) AS percent FROM orders GROUP BY o_orderpriority")
+def share_report(spark, sf):
+    return reports.shares(table(spark, sf, "orders"), "o_orderpriority")
+
+
+@query(f"WITH {_SHRUNK}, r AS (SELECT *, rank() OVER (ORDER BY score DESC) AS rank FROM a) SELECT author_id, score, rank FROM r WHERE rank = (SELECT min(rank) FROM (SELECT rank FROM r GROUP BY rank HAVING count(*) > 1))")
+def first_tie(spark, sf):
+    ranked = score.competition_rank(score.shrunk(scored_orders(spark, sf), "author_id", "score"))
+    return reports.first_tie(ranked).select("author_id", "score", "rank")
+
+
+@query("SELECT p_type AS name, count(*) AS n, count(*) <= 2 AS rare FROM part WHERE p_type <> '' GROUP BY p_type")
+def tune_frequency(spark, sf):
+    return reports.tune_frequency(table(spark, sf, "part"), "p_type")
+
+
+@query("SELECT doc_id, source FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5('report:' || doc_id), doc_id) AS n FROM documents) WHERE n <= 3")
+def class_samples(spark, sf):
+    """Samples are the feature here."""
+    return reports.samples(table(spark, sf, "documents").select("doc_id", "source"), ["source"], "doc_id", 3)
+
+
+@query("SELECT CAST(o_custkey % 50 AS BIGINT) AS uid, o_orderpriority AS field, o_orderstatus AS old, 'x' AS new, min(o_orderkey) AS o_orderkey FROM orders GROUP BY 1, 2, 3")
+def conflict_dedupe(spark, sf):
+    o = table(spark, sf, "orders").select((F.col("o_custkey") % 50).alias("uid"), F.col("o_orderpriority").alias("field"), F.col("o_orderstatus").alias("old"), F.lit("x").alias("new"), "o_orderkey")
+    return reports.one_conflict_each(o, "o_orderkey")
+
+
+@query("WITH d AS (SELECT source || lang AS a, CASE WHEN doc_id % 3 = 0 THEN source || lang WHEN doc_id % 3 = 1 THEN source || 'zz' ELSE 'q' || source END AS b FROM documents) SELECT CAST(0 AS BIGINT) AS step, count(*) AS n FROM d WHERE a <> b")
+def difference_histogram(spark, sf):
+    k = F.col("doc_id") % 3
+    d = table(spark, sf, "documents").select(F.concat("source", "lang").alias("a"), F.when(k == 0, F.concat("source", "lang")).when(k == 1, F.concat("source", F.lit("zz"))).otherwise(F.concat(F.lit("q"), "source")).alias("b"))
+    return reports.first_difference(d, "a", "b")
+
+
+@query("SELECT 'o' || doc_id AS old, 'n' || doc_id AS new FROM documents WHERE doc_id % 10 = 3")
+def uid_remap(spark, sf):
+    d, k = table(spark, sf, "documents").select("doc_id"), F.col("doc_id").cast("string")
+    w = d.select("doc_id", F.when(F.col("doc_id") % 2 == 1, F.concat(F.lit("n"), k)).otherwise(F.concat(F.lit("o"), k)).alias("uid"))
+    side = d.where("doc_id % 10 = 3 OR doc_id % 10 = 4").select(F.concat(F.lit("o"), k).alias("uid"))
+    return reports.remapped(side, w, F.concat(F.lit("o"), k))
+
+
+@query("SELECT count(*) AS n_works, count(*) FILTER (o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)) AS n_matched FROM orders")
+def reference_coverage(spark, sf):
+    return reports.reference_coverage(table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")), table(spark, sf, "customer").where("c_acctbal > 0"), "c_custkey")
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 6 = 0 THEN 'not_found' WHEN doc_id % 6 = 1 THEN 'missing_author' WHEN doc_id % 6 = 2 THEN 'same_body_other_author' WHEN doc_id % 6 = 3 THEN 'title' WHEN doc_id % 6 = 4 THEN 'near_body' ELSE 'same_title_other_work' END AS verdict FROM documents")
+def verdict_taxonomy(spark, sf):
+    k = F.col("doc_id") % 6
+    d = table(spark, sf, "documents").select("doc_id", F.when(k != 1, "a").alias("author"), F.when(k == 2, "b").otherwise("a").alias("site_author"), F.lit("t").alias("title"), F.when(k == 3, "u").otherwise("t").alias("site_title"), F.when(k != 0, F.col("text")).alias("site_body"), F.when(k == 4, 0.95).when(k == 5, 0.3).otherwise(1.0).alias("similarity"))
+    return matching.verdict(d).select("doc_id", "verdict")
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'reject' WHEN doc_id % 5 = 1 THEN 'complete' WHEN doc_id % 5 = 2 THEN 'manual' WHEN doc_id % 5 = 3 THEN 'variant' ELSE 'correct' END AS action FROM documents")
+def guarded_correction(spark, sf):
+    k = F.col("doc_id") % 5
+    d = table(spark, sf, "documents").select("doc_id", F.lit("a").alias("author"), F.when(k == 0, "b").otherwise("a").alias("site_author"), F.when(k == 1, "abc").otherwise("xbc").alias("body"), F.lit("abcd").alias("site_body"), F.when(k == 2, 0.6).when(k == 3, 0.95).otherwise(0.7).alias("similarity"))
+    return matching.guarded_correction(d).select("doc_id", "action")
+
+
+@query("SELECT conv_id AS work_id, turn AS idx, substr(p, CAST(start + 1 AS BIGINT), length(text)) AS tones FROM (SELECT conv_id, turn, text, coalesce(sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start, repeat('平仄，', 40) AS p FROM conversations)")
+def tone_slices(spark, sf):
+    c = table(spark, sf, "conversations").select(F.col("conv_id").alias("work_id"), F.col("turn").alias("idx"), "text").withColumn("pattern", F.repeat(F.lit("平仄，"), 40))
+    return store.running_offsets(c).select("work_id", "idx", "tones")
