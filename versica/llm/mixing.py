@@ -63,13 +63,11 @@ def plan(docs: DataFrame, repeats: float | None = 4.0, entropy: float | None = N
     by = light.groupBy("source").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n"))
     sizes = by.where("t > 0").agg(F.collect_list(F.col("t").cast("double")).alias("sizes"))  # a number for each source
     fixed = sizes.where(F.size("sizes") > 0).select("sizes", exponent(F.col("sizes"), repeats, entropy).alias("a"))
-    fixed = fixed.select("a", F.array_max("sizes").alias("most"), F.aggregate("sizes", F.lit(0.0), lambda s, t: s + F.pow(t, F.col("a"))).alias("norm"))
-    if budget is None:
-        times = F.pow(F.col("most") / F.col("t"), F.lit(1.0) - F.col("a"))
-    else:
-        times = F.lit(float(budget)) * F.pow(F.col("t").cast("double"), F.col("a") - 1.0) / F.col("norm")
-    times = F.round(F.when(F.col("t") > 0, times).otherwise(1.0), 6)
-    shares = by.join(F.broadcast(fixed), how="left").withColumn("times", times)  # fixed is one row
+    fixed = fixed.select("a", F.array_max("sizes").alias("most"), F.aggregate("sizes", F.lit(0.0), lambda s, t: s + F.pow(t, F.col("a"))).alias("norm")).first()  # three numbers
+    a, most, norm = fixed or (1.0, 1.0, 1.0)
+    size = F.col("t").cast("double")
+    times = F.pow(F.lit(most) / size, F.lit(1.0 - a)) if budget is None else F.lit(float(budget)) * F.pow(size, F.lit(a - 1.0)) / F.lit(norm)
+    shares = by.withColumn("times", F.round(F.when(F.col("t") > 0, times).otherwise(1.0), 6))
     shares = shares.select("source", F.floor("times").alias("full"), F.floor((F.col("times") - F.floor("times")) * F.col("t")).alias("part"), F.ceil(F.col("n") / BLOCK).alias("blocks"))
     shares = stored(shares.withColumn("epochs", F.col("full") + (F.col("part") > 0).cast("long")).where("epochs > 0"), "shares")
 
