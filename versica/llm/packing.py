@@ -29,7 +29,7 @@ SEQUENCE, END = 4096, 1
 #: Bins that a task of a later round packs at most, about; and free places that a bin emitted early may have.
 ITEMS, SLACK, FAN_IN = 400_000, 8, 8
 #: Words whose ids a worker keeps.
-WORDS = 300_000
+WORDS = 200_000
 
 # Texts of these characters only are split into words here, as the tokenizer's own rules would; all others go to the tokenizer whole.
 _LETTERS = "a-zß-öø-ÿœšž"

@@ -38,6 +38,8 @@ EXAMPLES, VOCABULARY, BLOCK, K = 3000, 1024, 16, 15
 #: A feature needs this chi-square, and this share of label-1 examples.
 CHI, SUPPORT = 30.0, 0.01
 FOLDS = 5
+#: Words whose features a worker keeps.
+CACHED = 100_000
 _WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS, REPEATS = (4, 5, 6), (2, 3, 5)
 
@@ -126,7 +128,7 @@ class Model:
         for i, f in enumerate(terms):
             base, _, times = f.partition("#")
             self.least.setdefault(base, []).append((int(times or 1), i))
-        self.known: dict[str, list[str]] = {}
+        self.known: dict[str, tuple[str, ...]] = {}
         self.scores: dict[tuple, tuple[float, list[int]]] = {}
 
     def counts(self, text: str) -> tuple[dict[int, int], int]:
@@ -136,8 +138,8 @@ class Model:
         for word, n in Counter(words).items():
             own = self.known.get(word)
             if own is None:
-                own = [f for f in features_of(word) if f in self.least]
-                if len(self.known) < 200_000:
+                own = tuple(f for f in features_of(word) if f in self.least)
+                if len(self.known) < CACHED:
                     self.known[word] = own
             for f in own:
                 counts[f] += n
@@ -162,7 +164,7 @@ class Model:
             return self.scores[key]
         near = self.index.nearest(v)
         out = self.calibrated(self.index.vote(near)), [i for _, i, _ in near]
-        if len(self.scores) < 50_000:
+        if len(self.scores) < CACHED // 10:
             self.scores[key] = out
         return out
 
