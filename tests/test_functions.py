@@ -96,3 +96,9 @@ def test_ratio_and_gaps(spark):
 def test_three_way_merge(spark):
     df = spark.createDataFrame([(["a", "b", "c"], ["a", "B", "c"], ["a", "b", "C"])], "b array<string>, x array<string>, y array<string>")
     assert df.select(similarity.merged_lines("b", "x", "y").alias("m")).first().m == ["a", "B", "C"]
+
+
+def test_driver_side_forms_agree(spark):
+    plain = ["明，月Abc 12x", "春風 乾隆 ²½ x_y", "ÉÀß İ", "", "—…", "𠀀春a"]
+    assert each(spark, plain, script.fold) == [script.fold_text(s) for s in plain]
+    assert [t.split() for t in each(spark, plain, script.tokens)] == [script.token_list(s) for s in plain]

@@ -70,6 +70,17 @@ def fold(text: Column) -> Column:
     return _folded(text, target, source)
 
 
+def fold_text(text: str) -> str:
+    """fold() of one string, on the driver."""
+    source, target = table()
+    for i, phrase in enumerate(KEPT_PHRASES):
+        text = text.replace(phrase, chr(_HIDDEN + i) * len(phrase))
+    text = text.translate(str.maketrans(source, target))
+    for i, phrase in enumerate(KEPT_PHRASES):
+        text = text.replace(chr(_HIDDEN + i) * len(phrase), phrase)
+    return text
+
+
 def fold_checked(text: Column) -> Column:
     """struct(folded, kept_length)."""
     folded = fold(text)
@@ -110,6 +121,24 @@ def comparable(text: Column) -> Column:
     return F.regexp_replace(F.translate(norm_text(text), PUNCTUATION, ""), r"\s+", "")
 
 
+_HAN_CHAR = re.compile("[㐀-䶿一-鿿豈-\ufaff\U00020000-\U0003134f]")
+
+
+def token_list(text: str) -> list[str]:
+    """tokens() of one string, on the driver."""
+    out: list[str] = []
+    run = ""
+    for c in text.lower() + " ":
+        if c.isalnum() and not _HAN_CHAR.match(c):
+            run += c
+            continue
+        out += [run] if run else []
+        run = ""
+        if _HAN_CHAR.match(c):
+            out.append(c)
+    return out
+
+
 def first_sentence(text: Column, most: int = 120) -> Column:
     """Up to the first end of a sentence, or the first `most` characters."""
     text = F.trim(text)

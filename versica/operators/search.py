@@ -22,26 +22,52 @@ def lines_of(works: DataFrame, body: str = "body") -> DataFrame:
 
 def needle(text: str) -> str:
     """A query's tokens as the substring to look for; ValueError if it has none."""
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.getActiveSession()
-    found = spark.range(1).select(script.tokens(script.fold(F.lit(text))).alias("t")).first().t
-    if not found.strip():
+    found = script.token_list(script.fold_text(text))
+    if not found:
         raise ValueError("the query has nothing to search for")
-    return found
+    return f" {' '.join(found)} "
+
+
+def _tokens_there(text: Column, wanted: str) -> Column:
+    """Every token as a plain substring: cheap, and true of all that match."""
+    plain = F.lower(script.fold(text))
+    return functools.reduce(Column.__and__, [plain.contains(t) for t in dict.fromkeys(sorted(wanted.split(), key=len, reverse=True))])
 
 
 def phrase(text: Column, query: str) -> Column:
-    """Every token as a plain substring first: that is cheap, and spares most lines the tokenizer."""
-    wanted, plain = needle(query), F.lower(script.fold(text))
-    cheap = functools.reduce(Column.__and__, [plain.contains(t) for t in dict.fromkeys(sorted(wanted.split(), key=len, reverse=True))])
-    return cheap & script.tokens(script.fold(text)).contains(wanted)
+    """The cheap test first: it spares most lines the tokenizer."""
+    wanted = needle(query)
+    return _tokens_there(text, wanted) & script.tokens(script.fold(text)).contains(wanted)
+
+
+def found_in(works: DataFrame, query: str, exact: bool = False, body: str = "body", **equal: str | None) -> DataFrame:
+    """Matching works with lines (array<struct<idx, text>>, those that match) and body_key, where a work's text is one column:
+    rows are tested and keyed where they lie, and nothing is shuffled."""
+    rows = filtered(works, **equal).where(_tokens_there(F.col(body), needle(query)))
+    each = F.transform(F.split(body, "\n"), lambda x, i: F.struct(i.alias("idx"), x.alias("text")))
+    rows = rows.withColumn("lines", F.filter(each, lambda x: F.trim(x["text"]) != ""))
+    hit = lambda x: phrase(x["text"], query)
+    if exact:
+        own = F.lower(F.lit(script.fold_text(query)))
+        hit = lambda x: F.lower(script.fold(x["text"])).contains(own) & phrase(x["text"], query)
+    rows = rows.withColumn("_all", F.col("lines")).withColumn("lines", F.filter("lines", hit)).where(F.size("lines") > 0)
+    return rows.withColumn("body_key", row_key(F.col("_all"))).drop("_all")
+
+
+def row_key(lines: Column) -> Column:
+    return F.sha2(F.array_join(F.transform(lines, lambda x: script.fold(x["text"])), "\x1f"), 256)
+
+
+def grouped_rows(found: DataFrame) -> DataFrame:
+    """One row for each text of found_in(): work_id (smallest), lines, editions."""
+    by = found.groupBy("body_key").agg(F.min_by("lines", "work_id").alias("lines"), F.sort_array(F.collect_list("work_id")).alias("ids"))
+    return by.select(F.col("ids")[0].alias("work_id"), "lines", F.expr("slice(ids, 2, size(ids))").alias("editions"))
 
 
 def matches(lines: DataFrame, query: str, exact: bool = False, column: str = "text") -> DataFrame:
     """Lines that hold the phrase. The exact string goes first: it is cheap, and rules most lines out."""
     if exact:
-        lines = lines.where(F.lower(script.fold(F.col(column))).contains(F.lower(script.fold(F.lit(query)))))
+        lines = lines.where(F.lower(script.fold(F.col(column))).contains(F.lower(F.lit(script.fold_text(query)))))
     return lines.where(phrase(F.col(column), query))
 
 
@@ -92,7 +118,12 @@ def page(rows: DataFrame, order: list, limit: int | None, offset: int = 0) -> Da
 
 def editions(lines: DataFrame, works: DataFrame) -> DataFrame:
     """work_id, editions: other works of the same text. A digest groups, no pairs are made."""
-    groups = body_keys(lines).groupBy("body_key").agg(F.sort_array(F.collect_list("work_id")).alias("ids")).where(F.size("ids") > 1)
+    return edition_groups(body_keys(lines))
+
+
+def edition_groups(keys: DataFrame) -> DataFrame:
+    """work_id, editions from (work_id, body_key)."""
+    groups = keys.groupBy("body_key").agg(F.sort_array(F.collect_list("work_id")).alias("ids")).where(F.size("ids") > 1)
     return groups.select(F.explode("ids").alias("work_id"), "ids").select("work_id", F.expr("filter(ids, x -> x <> work_id)").alias("editions"))
 
 

@@ -52,41 +52,35 @@ SCORED = "scored AS (SELECT o_orderkey, o_custkey AS author_id, CAST(floor(o_tot
 
 @query(f"WITH {HITS} SELECT count(*) AS n_lines, count(DISTINCT work_id) AS n_works FROM hit")
 def search_phrase_count(spark, sf):
-    w = works(spark, sf)
-    return search.count(search.lines_of(w), w, PHRASE)
+    return search.found_in(works(spark, sf), PHRASE).agg(F.coalesce(F.sum(F.size("lines")), F.lit(0)).cast("long").alias("n_lines"), F.count("*").alias("n_works"))
 
 
 @query(f"WITH {HITS} SELECT count(*) AS n_lines, count(DISTINCT work_id) AS n_works FROM hit WHERE contains(lower(text), 'of the')")
 def search_exact_count(spark, sf):
-    w = works(spark, sf)
-    return search.count(search.lines_of(w), w, PHRASE, exact=True)
+    return search.found_in(works(spark, sf), PHRASE, exact=True).agg(F.coalesce(F.sum(F.size("lines")), F.lit(0)).cast("long").alias("n_lines"), F.count("*").alias("n_works"))
 
 
 @query(f"WITH {HITS} SELECT work_id, count(*) AS n_lines, string_agg(text, chr(10) ORDER BY idx) AS lines FROM hit GROUP BY work_id")
 def search_hits(spark, sf):
-    w = works(spark, sf)
-    found = search.hits(search.lines_of(w), w, PHRASE)
+    found = search.found_in(works(spark, sf), PHRASE)
     return found.select("work_id", F.size("lines").cast("long").alias("n_lines"), F.array_join(F.transform("lines", lambda x: x["text"]), "\n").alias("lines"))
 
 
 @query(f"WITH {HITS}, {KEYS} SELECT min(work_id) AS work_id, count(*) - 1 AS n_editions, array_to_string(list_sort(list(work_id))[2:], ',') AS editions FROM keys GROUP BY k")
 def search_grouped(spark, sf):
-    w = works(spark, sf)
-    found = search.grouped(search.lines_of(w), w, PHRASE)
+    found = search.grouped_rows(search.found_in(works(spark, sf), PHRASE))
     return found.select("work_id", F.size("editions").cast("long").alias("n_editions"), F.array_join("editions", ",").alias("editions"))
 
 
 @query(f"WITH {HITS}, {KEYS} SELECT count(DISTINCT k) AS n_texts FROM keys")
 def grouped_count(spark, sf):
-    w = works(spark, sf)
-    return search.grouped_count(search.lines_of(w), w, PHRASE)
+    return search.found_in(works(spark, sf), PHRASE).agg(F.count_distinct("body_key").alias("n_texts"))
 
 
 @query(f"WITH {HITS} SELECT work_id, count(*) AS n FROM hit JOIN documents ON doc_id = work_id WHERE lang = 'en' AND source = 'src1' GROUP BY work_id ORDER BY work_id LIMIT 10 OFFSET 3")
 def search_filtered_paged(spark, sf):
     """A page is the feature here."""
-    w = works(spark, sf)
-    found = search.hits(search.lines_of(w), w, PHRASE, dynasty="en", dataset="src1").select("work_id", F.size("lines").cast("long").alias("n"))
+    found = search.found_in(works(spark, sf), PHRASE, dynasty="en", dataset="src1").select("work_id", F.size("lines").cast("long").alias("n"))
     return search.page(found, ["work_id"], 10, 3)
 
 
@@ -98,8 +92,9 @@ def search_clause_break_diff(spark, sf):
 
 @query(f"WITH {LINES}, k AS (SELECT work_id, string_agg(text, chr(31) ORDER BY idx) AS k FROM lines GROUP BY work_id) SELECT a.work_id, string_agg(b.work_id, ',' ORDER BY b.work_id) AS editions FROM k a JOIN k b ON a.k = b.k AND a.work_id <> b.work_id GROUP BY a.work_id")
 def work_lines_editions(spark, sf):
-    w = works(spark, sf)
-    return search.editions(search.lines_of(w), w).select("work_id", F.array_join("editions", ",").alias("editions"))
+    each = F.filter(F.transform(F.split("body", "\n"), lambda x, i: F.struct(i.alias("idx"), x.alias("text"))), lambda x: F.trim(x["text"]) != "")
+    keys = works(spark, sf).select("work_id", search.row_key(each).alias("body_key"), F.size(each).alias("n")).where("n > 0")
+    return search.edition_groups(keys).select("work_id", F.array_join("editions", ",").alias("editions"))
 
 
 @query("SELECT c_custkey AS author_id, 1 AS level FROM customer WHERE c_name = 'Customer#000000007' UNION ALL SELECT c_custkey, 2 FROM customer WHERE upper(c_name) = 'Customer#000000007' AND NOT EXISTS (SELECT 1 FROM customer WHERE c_name = 'Customer#000000007')")
