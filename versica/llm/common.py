@@ -40,11 +40,18 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that a worker holds few texts as Python objects at a time."""
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            yield b.slice(k, rows)
+
+
 def arrow_map(df: DataFrame, rows: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """mapInArrow with a function of one batch; empty results are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             if b.num_rows and (out := rows(b)) is not None and out.num_rows:
                 yield out
 

@@ -15,6 +15,7 @@ occur, as the largest doc_id stays; a text whose lines are all dropped becomes e
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StructType
 
-from versica.llm.common import binary, id_text, stored
+from versica.llm.common import binary, id_text, sliced, stored
 
 SLICES, SLICE_BITS, PROBES = 64, 1 << 21, 4
 #: Bits of the once-seen filter of one slice in one task; it stays where the slice is and is never sent.
@@ -76,7 +77,7 @@ def _hashes(least: int):
             h = np.repeat(h, np.minimum(n, 2))
             return pa.RecordBatch.from_arrays([pa.array(_slice_of(h)), pa.array(h.view(np.int64))], ["slice", "h"])
 
-        for b in batches:
+        for b in sliced(batches):
             for doc_id, text in zip(b.column("doc_id").to_pylist(), binary(b.column("text")), strict=True):
                 if doc_id is not None:
                     held.extend({h for _, h in line_keys(text, least)})
@@ -112,7 +113,7 @@ def _filters(slice_bits: int, once_bits: int):
 def _suspects(least: int, filters, slice_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = {k: np.frombuffer(zlib.decompress(v), np.uint8) for k, v in filters.value.items()}
-        for b in batches:
+        for b in sliced(batches):
             ids, keys, hashes = [], [], []
             for doc_id, text in zip(b.column("doc_id").to_pylist(), binary(b.column("text")), strict=True):
                 if doc_id is not None:
@@ -150,7 +151,7 @@ def _rewrite(least: int, drops_of, schema: pa.Schema, text_col: str, id_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         goes = drops_of()
-        for b in batches:
+        for b in sliced(batches):
             texts, lines, dropped = [], [], []
             for doc_id, text, *row in zip(b.column(id_col).to_pylist(), binary(b.column(text_col)), *([b.column("_drop").to_pylist()] if "_drop" in b.schema.names else []), strict=True):
                 text = text or b""
@@ -171,7 +172,7 @@ def _rewrite(least: int, drops_of, schema: pa.Schema, text_col: str, id_col: str
 
 
 def _digest(key: bytes) -> bytes:
-    return xxhash.xxh3_128_digest(key)
+    return hashlib.md5(key).digest()
 
 
 def dedup_lines(docs: DataFrame, least: int = 20, docs_least: int = 3, id_col: str = "doc_id", text_col: str = "text", broadcast: int = BROADCAST, slice_bits: int = SLICE_BITS, once_bits: int = ONCE_BITS) -> DataFrame:
@@ -181,7 +182,8 @@ def dedup_lines(docs: DataFrame, least: int = 20, docs_least: int = 3, id_col: s
     out = StructType(docs.schema.fields + StructType().add("_n_lines", LongType()).add("_n_dropped", LongType()).fields)
     schema = to_arrow_schema(out)
     if repeats.count() <= broadcast:
-        table = spark.sparkContext.broadcast({_digest(bytes(r.key)): r.keep_doc for r in repeats.toLocalIterator()})
+        short = repeats.select(F.unhex(F.md5("key")).alias("digest"), "keep_doc")
+        table = spark.sparkContext.broadcast({bytes(r.digest): r.keep_doc for r in short.toLocalIterator()})
 
         def drops_of():
             keep = table.value

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from versica.llm.common import id_text, stored
+from versica.llm.common import id_text, sliced, stored
 
 SEQUENCE, END = 4096, 1
 #: Bins that a task of a later round packs at most, about; and free places that a bin emitted early may have.
@@ -101,7 +101,7 @@ def pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _tokens(tokenizer)
-        for b in batches:
+        for b in sliced(batches):
             doc, piece, start, length, crc = [], [], [], [], []
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
                 ids = tokens.ids(text.as_py()) + last

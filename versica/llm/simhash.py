@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from versica.llm.common import binary, components, id_text, stored
+from versica.llm.common import binary, components, id_text, sliced, stored
 
 SEED, CAP = 42, 64
 #: Fingerprint words for similarity thresholds: 1024 bits tell similarities to within about 0.03.
@@ -84,7 +84,7 @@ def fingerprints(docs: DataFrame, shingle: int, words: int = 1, segments: int =
     """doc_id, fp0, fp1, ... for docs(doc_id, text); with segments, also segs, an array of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             ids, held, n = [], [], 0
 
             def out() -> pa.RecordBatch:

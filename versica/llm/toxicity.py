@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructType
 
-from versica.llm.common import id_text, stored
+from versica.llm.common import id_text, sliced, stored
 
 EXAMPLES, VOCABULARY, BLOCK, K = 3000, 1024, 16, 15
 #: A feature needs this chi-square, and this share of label-1 examples.
@@ -172,7 +172,7 @@ class Model:
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sampled texts -> doc_id, toxic, features and how often each occurs."""
     kind = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("feature", pa.list_(pa.string())), ("n", pa.list_(pa.int32()))])
-    for b in batches:
+    for b in sliced(batches):
         out = []
         for text in b.column("text").to_pylist():
             counts: Counter[str] = Counter()
@@ -190,7 +190,7 @@ def _frequencies(model: Model):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[int] = Counter()
-        for b in batches:
+        for b in sliced(batches):
             for text in b.column("text").to_pylist():
                 counts.update([-1, *model.counts(text)[0]])
         if counts:
@@ -265,7 +265,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
-        for b in batches:
+        for b in sliced(batches):
             got = [own.score(t or "") for t in b.column(text_col).to_pylist()]
             new = [pa.array([s for s, _ in got], pa.float64()), pa.array([int(s >= 0.5) for s, _ in got], pa.int32()), pa.array([near for _, near in got], schema.field("_nearest").type)]
             yield pa.RecordBatch.from_arrays([*b.columns, *new], schema=schema)
