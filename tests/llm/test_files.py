@@ -115,3 +115,14 @@ def test_damaged_warc():
 def test_warc_query(spark):
     got = QUERIES["op9_warc"](spark, SF).collect()
     assert len(got) == 2 * spark.read.parquet(f"{SF}/pages.parquet").count() and len({r.record_id for r in got}) == len(got)
+
+
+def test_pages_that_are_empty_null_long_or_repeated(spark):
+    schema = "page_id long, url string, html string, text string, n_chars string"
+    none = spark.createDataFrame([], schema)
+    assert html_extract.extract(none).count() == 0 and warc.derive(warc.responses(none)).count() == 0
+    long = "<article>" + "<p>word " * 30_000 + "</article>"
+    rows = [(1, "u", long, "clash", "x"), (2, None, None, None, None), (3, "v", "", "", ""), (1, "u", long, "clash", "x")]
+    got = html_extract.extract(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((r.page_id, r.url or "", r.n_chars) for r in got) == [(1, "u", 30_000 * 5 - 1)] * 2 + [(2, "", 0), (3, "v", 0)]
+    assert warc.derive(warc.responses(spark.createDataFrame(rows, schema))).count() == 8

@@ -47,6 +47,25 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
             yield b.slice(k, rows)
 
 
+#: Rows of an Arrow batch, where the session has Spark's default: texts are long, and workers many.
+BATCH = 1000
+
+
+def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """mapInArrow with batches of few rows; Arrow's pool gives memory back between them."""
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pool = pa.default_memory_pool()
+        for out in run(batches):
+            yield out
+            pool.release_unused()
+
+    return df.mapInArrow(lean, schema)
+
+
 def arrow_map(df: DataFrame, rows: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """mapInArrow with a function of one batch; empty results are left out."""
 
@@ -55,7 +74,7 @@ def arrow_map(df: DataFrame, rows: Callable[[pa.RecordBatch], pa.RecordBatch | N
             if b.num_rows and (out := rows(b)) is not None and out.num_rows:
                 yield out
 
-    return df.mapInArrow(run, schema)
+    return in_arrow(df, run, schema)
 
 
 def binary(column: pa.Array) -> list[bytes | None]:

@@ -154,7 +154,7 @@ def differing(similarity: float) -> float:
 def segment_plan(n: int, similarity: float, recall: float) -> tuple[int, int]:
     """(segments, width) for n documents. A bucket of a segment's ball holds few others by chance (width grows with log2 n); two
     segments meet if equal, if one bit differs, or, in half of the cases, if two do; the number of segments gives the recall."""
-    p, width = differing(similarity), max(24, math.ceil(math.log2(max(2, n))) + 6)
+    p, width = differing(similarity), max(16, math.ceil(math.log2(max(2, n))) + 7)
     meet = sum(share * math.comb(width, k) * p**k * (1 - p) ** (width - k) for k, share in ((0, 1), (1, 1), (2, 0.5)))
     return math.ceil(math.log(1 - recall) / math.log(1 - meet)), width
 
@@ -180,8 +180,8 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5,
     points = points.select((F.col("base") + F.col("point")).alias("key"), "id", "fp0")
     bucket = W.partitionBy("key").orderBy("id")
     seen = points.select("id", "fp0", F.first(F.struct("id", "fp0")).over(bucket).alias("head"), F.lag(F.struct("id", "fp0")).over(bucket).alias("last"))
-    pairs = seen.where("last IS NOT NULL").select("id", "fp0", F.expr("explode(array_distinct(array(head, last)))").alias("other"))
-    pairs = pairs.where(F.expr(f"bit_count(fp0 ^ other.fp0) <= {few}")).select("id", F.col("other.id").alias("other")).distinct()
+    alike = F.expr(f"explode(filter(array_distinct(array(head, last)), x -> bit_count(fp0 ^ x.fp0) <= {few}))")
+    pairs = seen.where("last IS NOT NULL").select("id", alike.alias("other")).select("id", F.col("other.id").alias("other")).distinct()
     left, right = classes.select("id", *print_), classes.select(F.col("id").alias("other"), *[F.col(c).alias(f"o_{c}") for c in print_])
     distance = F.expr(" + ".join(f"bit_count({c} ^ o_{c})" for c in print_))
     edges = pairs.join(left, "id").join(right, "other").where(distance <= most).select(F.col("other").alias("a"), F.col("id").alias("b"))
