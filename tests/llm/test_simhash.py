@@ -102,3 +102,14 @@ def test_keep_one_of_odd_rows(odd, empty):
     kept = simhash.keep_one(odd)
     ids = sorted((r.doc_id for r in kept.collect()), key=repr)
     assert kept.columns == odd.columns and None in ids and 1 in ids and 2 not in ids and 3 in ids and 4 not in ids and simhash.keep_one(empty).count() == 0
+
+
+def test_near_duplicates_of_a_crowded_bucket(spark, monkeypatch):
+    """All meet in one bucket, and each real pair stands far apart in id order: only comparing all members finds it."""
+    monkeypatch.setattr(simhash, "segment_plan", lambda n, similarity, recall: (1, 1))
+    monkeypatch.setattr(simhash, "BLOCK", 7)
+    pick = random.Random(8)
+    texts = [" ".join(f"w{pick.randrange(10**6)}" for _ in range(80)) for _ in range(40)]
+    texts += [f"{t} end" for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.group_id for r in simhash.near_duplicates(df).collect()} == {i: i % 40 for i in range(80)}

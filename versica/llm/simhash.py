@@ -7,10 +7,11 @@ Table entries that more than CAP fingerprints share are left out of that and don
 are within two bits if and only if their full balls of radius one meet, and no ball point has more than 65 neighbours.
 
 near_duplicates() is for similarity thresholds, where fingerprints differ in many bits. Its fingerprints are wider, cut into
-segments whose number and width follow from the number of documents and the recall wanted; buckets of segment balls are
-chained (each member with the first and the one before), never paired, and full distances are verified.
+segments whose number and width follow from the number of documents and the recall wanted. Buckets of segment balls are first
+chained (each member with the first and the one before); then all pairs of a bucket's members that are not in one group by that
+are compared, block by block. Full distances are verified.
 
-Only distinct fingerprints take part: copies are one class. Defined cases: a null or empty text has no words, and
+Only distinct fingerprints take part, or there distinct sets of shingles: copies are one class. Defined cases: a null or empty text has no words, and
 fingerprint zero, linked like any other; a text of fewer words than a shingle is one shingle; a null doc_id takes part in
 links but is no component's id unless it is alone with others like it (then null), and near_duplicates() never drops it;
 repeated rows come out repeated; no documents, no rows; extra columns are not looked at.
@@ -18,6 +19,7 @@ repeated rows come out repeated; no documents, no rows; extra columns are not lo
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from itertools import accumulate
@@ -34,6 +36,8 @@ from versica.llm.common import binary, components, id_text, sliced, stored
 SEED, CAP = 42, 64
 #: Fingerprint words for similarity thresholds: 1024 bits tell similarities to within about 0.03.
 WORDS = 16
+#: Members of a crowded bucket that one task compares at a time.
+BLOCK = 1000
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)[None, :]) & 1).astype(np.float64)
 
 
@@ -81,7 +85,7 @@ def _cut(fp: np.ndarray, segments: int, width: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int, words: int = 1, segments: int = 0, width: int = 0) -> DataFrame:
-    """doc_id, fp0, fp1, ... for docs(doc_id, text); with segments, also segs, an array of them."""
+    """doc_id, fp0, fp1, ... for docs(doc_id, text); with segments, of distinct shingles, and also segs, an array of them, and class, a digest of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches):
@@ -92,11 +96,13 @@ def fingerprints(docs: DataFrame, shingle: int, words: int = 1, segments: int =
                 cols = [pa.array(ids, pa.int64()), *[pa.array(fp[:, k].copy().view(np.int64)) for k in range(words)]]
                 if segments:
                     cols.append(pa.ListArray.from_arrays(pa.array(np.arange(len(fp) + 1) * segments, pa.int32()), pa.array(_cut(fp, segments, width).ravel())))
+                    cols.append(pa.array([hashlib.sha256(np.array(h, np.uint64)).hexdigest() for h in held], pa.string()))
                 return pa.RecordBatch.from_arrays(cols, names)
 
             for doc_id, text in zip(b.column("doc_id").to_pylist(), binary(b.column("text")), strict=True):
                 ids.append(doc_id)
-                held.append(shingle_hashes(text, shingle))
+                hashes = shingle_hashes(text, shingle)
+                held.append(sorted(set(hashes)) if segments else hashes)
                 n += len(held[-1])
                 if n > 200_000 or len(held) >= 256:
                     yield out()
@@ -104,8 +110,8 @@ def fingerprints(docs: DataFrame, shingle: int, words: int = 1, segments: int =
             if held:
                 yield out()
 
-    names = ["doc_id", *[f"fp{k}" for k in range(words)], *["segs"] * bool(segments)]
-    schema = ", ".join(["doc_id long", *[f"fp{k} long" for k in range(words)], *["segs array<long>"] * bool(segments)])
+    names = ["doc_id", *[f"fp{k}" for k in range(words)], *["segs", "class"] * bool(segments)]
+    schema = ", ".join(["doc_id long", *[f"fp{k} long" for k in range(words)], *["segs array<long>", "class string"] * bool(segments)])
     return docs.mapInArrow(run, schema)
 
 
@@ -169,26 +175,39 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5,
     segments, width = segment_plan(n, similarity, recall)
     words = max(WORDS, -(-segments * width // 64))
     p = differing(similarity)
-    most = math.floor(64 * words * (p + 1.5 * math.sqrt(p * (1 - p) / (64 * words))))
-    few = math.ceil(64 * (p + 4 * math.sqrt(p * (1 - p) / 64)))
+    most, few = (math.ceil(bits * (p + sd * math.sqrt(p * (1 - p) / bits))) for bits, sd in ((64 * words, 1.5), (64, 4)))
     of = stored(fingerprints(rows, shingle, words, segments, width), "fingerprints")
     print_ = [f"fp{k}" for k in range(words)]
-    keyed = of.withColumn("class", F.sha2(F.concat_ws(",", *print_), 256))
-    classes = stored(keyed.groupBy("class").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in [*print_, "segs"]]), "classes")
+    classes = stored(of.groupBy("class").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in [*print_, "segs"]]), "classes")
+    left, right = classes.select("id", *print_), classes.select(F.col("id").alias("other"), *[F.col(c).alias(f"o_{c}") for c in print_])
+    close = F.expr(" + ".join(f"bit_count({c} ^ o_{c})" for c in print_)) <= most
+
     at = classes.select("id", "fp0", F.posexplode("segs").alias("part", "value"))
     points = at.select("id", "fp0", F.expr(f"part * {1 << width}L").alias("base"), F.explode(F.expr(_ball("value", width))).alias("point"))
     points = points.select((F.col("base") + F.col("point")).alias("key"), "id", "fp0")
     bucket = W.partitionBy("key").orderBy("id")
-    seen = points.select("id", "fp0", F.first(F.struct("id", "fp0")).over(bucket).alias("head"), F.lag(F.struct("id", "fp0")).over(bucket).alias("last"))
-    alike = F.expr(f"explode(filter(array_distinct(array(head, last)), x -> bit_count(fp0 ^ x.fp0) <= {few}))")
-    pairs = seen.where("last IS NOT NULL").select("id", alike.alias("other")).select("id", F.col("other.id").alias("other")).distinct()
-    left, right = classes.select("id", *print_), classes.select(F.col("id").alias("other"), *[F.col(c).alias(f"o_{c}") for c in print_])
-    distance = F.expr(" + ".join(f"bit_count({c} ^ o_{c})" for c in print_))
-    edges = pairs.join(left, "id").join(right, "other").where(distance <= most).select(F.col("other").alias("a"), F.col("id").alias("b"))
-    labels = components(edges)
-    ids = classes.join(labels, classes.id == labels.node, "left").select("class", F.coalesce("label", "id").alias("group_id"))
-    every = keyed.select("doc_id", "class").join(ids, "class")
-    return every.select("doc_id", "group_id")
+    seen = points.select("key", "id", "fp0", F.first(F.struct("id", "fp0")).over(bucket).alias("head"), F.lag(F.struct("id", "fp0")).over(bucket).alias("last"), F.count("*").over(W.partitionBy("key")).alias("size"))
+    near = F.expr(f"CASE WHEN last IS NULL THEN array() ELSE transform(filter(array_distinct(array(head, last)), x -> bit_count(fp0 ^ x.fp0) <= {few}), x -> x.id) END")
+    met = stored(seen.where("size > 1").select("key", "id", near.alias("near"), (F.col("size") > 3).alias("crowded")).where("crowded OR size(near) > 0"), "met")
+    chained = met.select("id", F.explode("near").alias("other")).where("id <> other").distinct()
+    chained = stored(chained.join(left, "id").join(right, "other").where(close).select("id", "other"), "chained")
+    labels = components(chained.select(F.col("other").alias("a"), F.col("id").alias("b")))
+
+    # What the chain leaves: pairs of buckets of four or more that aren't in one group yet
+    crowded = met.where("crowded").join(labels, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("label", "id").alias("label"))
+    mixed = crowded.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    members = stored(crowded.join(mixed, "key").withColumn("block", F.expr("pmod(xxhash64(id), blocks)")), "members")
+    mine = members.join(left, "id").select("key", "id", "label", *print_, F.col("block").alias("own"), F.expr("explode(sequence(block, blocks - 1))").alias("block"))
+    theirs = members.select("key", "block", F.col("id").alias("other"), F.col("label").alias("other_label")).join(right, "other")
+    rest = mine.join(theirs, (mine["key"] == theirs["key"]) & (mine["block"] == theirs["block"]) & (F.col("label") != F.col("other_label")) & ((F.col("own") < mine["block"]) | (F.col("id") < F.col("other"))) & close)
+    rest = rest.select(F.greatest("id", "other").alias("id"), F.least("id", "other").alias("other")).distinct().join(chained, ["id", "other"], "left_anti")
+    more = stored(rest, "rest").select(F.col("other").alias("a"), F.col("id").alias("b"))
+    over = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
+    joined = components(more.join(over("a"), "a", "left").join(over("b"), "b", "left").select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b")))
+
+    first = classes.select("class", "id").join(labels, F.col("id") == F.col("node"), "left").select("class", F.coalesce("label", "id").alias("one"))
+    ids = first.join(joined, F.col("one") == F.col("node"), "left").select("class", F.coalesce("label", "one").alias("group_id"))
+    return of.select("doc_id", "class").join(ids, "class").select("doc_id", "group_id")
 
 
 #: Ids to drop that may be sent to all tasks (8 bytes each).
