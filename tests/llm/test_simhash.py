@@ -113,3 +113,17 @@ def test_near_duplicates_of_a_crowded_bucket(spark, monkeypatch):
     texts += [f"{t} end" for t in texts]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id: r.group_id for r in simhash.near_duplicates(df).collect()} == {i: i % 40 for i in range(80)}
+
+
+def test_near_duplicates_on_both_sides_of_the_similarity(spark):
+    """What is linked has 0.8 or more: shared shingles decide, not bits, and not equal fingerprints."""
+    pick, texts = random.Random(3), []
+    for k in range(60):
+        base = [f"w{pick.randrange(10**6)}" for _ in range(204)]
+        texts.append(" ".join(base))
+        texts.append(" ".join(base[: (184, 178)[k % 2]] + [f"v{pick.randrange(10**6)}" for _ in range((20, 26)[k % 2])]))
+    texts += ["spam " * 30, "spam " * 30 + "and eggs"]
+    got = {r.doc_id: r.group_id for r in simhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    linked = [got[2 * k] == got[2 * k + 1] for k in range(61)]
+    alike = [jaccard(texts[2 * k], texts[2 * k + 1]) >= 0.8 for k in range(61)]
+    assert not any(x and not y for x, y in zip(linked, alike, strict=True)) and sum(linked) >= 0.9 * sum(alike) > 20 and not alike[60]

@@ -9,7 +9,7 @@ are within two bits if and only if their full balls of radius one meet, and no b
 near_duplicates() is for similarity thresholds, where fingerprints differ in many bits. Its fingerprints are wider, cut into
 segments whose number and width follow from the number of documents and the recall wanted. Buckets of segment balls are first
 chained (each member with the first and the one before); then all pairs of a bucket's members that are not in one group by that
-are compared, block by block. Full distances are verified.
+are compared, block by block. Fingerprints make candidates only: these are verified by the Jaccard similarity of their shingles.
 
 Only distinct fingerprints take part, or there distinct sets of shingles: copies are one class. Defined cases: a null or empty text has no words, and
 fingerprint zero, linked like any other; a text of fewer words than a shingle is one shingle; a null doc_id takes part in
@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
@@ -31,13 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from versica.llm.common import binary, components, id_text, sliced, stored
+from versica.llm.common import binary, components, id_text, in_arrow, sliced, stored
 
 SEED, CAP = 42, 64
 #: Fingerprint words for similarity thresholds: 1024 bits tell similarities to within about 0.03.
 WORDS = 16
-#: Members of a crowded bucket that one task compares at a time.
-BLOCK = 1000
+#: Standard deviations, of bits that differ, that candidates may be off; members of a crowded bucket that one task compares at a time.
+LOOSE, BLOCK = 6, 1000
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)[None, :]) & 1).astype(np.float64)
 
 
@@ -165,17 +166,35 @@ def segment_plan(n: int, similarity: float, recall: float) -> tuple[int, int]:
     return math.ceil(math.log(1 - recall) / math.log(1 - meet)), width
 
 
+def _alike(pairs: DataFrame, rows: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """Edges (a, b): the pairs(id, other) of rows(doc_id, text) whose sets of shingles have this Jaccard similarity or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = lru_cache(16)(lambda text: frozenset(shingle_hashes(text, shingle)))
+        for b in sliced(batches, 250):
+            keep = []
+            for x, y in zip(binary(b.column("text")), binary(b.column("other_text")), strict=True):
+                x, y = held(x), held(y)
+                keep.append(x == y or len(x & y) / len(x | y) >= similarity)
+            yield pa.RecordBatch.from_arrays([b.column("other"), b.column("id")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    ids = pairs.select(F.explode(F.array("id", "other")).alias("doc_id")).distinct()
+    texts = rows.join(ids, "doc_id", "left_semi").distinct()
+    met = pairs.join(texts.select(F.col("doc_id").alias("other"), F.col("text").alias("other_text")), "other").join(texts.withColumnRenamed("doc_id", "id"), "id")
+    return in_arrow(met.select("id", "other", "text", "other_text"), run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, recall: float = 0.93, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, group_id for every document with an id; group_id is the smallest doc_id of its group of near duplicates.
 
-    Two texts are linked if their fingerprints meet in a segment and differ in no more bits than sets of this similarity do on
-    average, and one and a half standard deviations; recall is that of the segments, at exactly this similarity."""
+    Two texts are linked if their fingerprints meet in a segment and their sets of shingles have this Jaccard similarity; recall
+    is that of the segments, at exactly this similarity. Fingerprints only rule out pairs LOOSE standard deviations beyond it."""
     rows = id_text(docs, id_col, text_col).where("doc_id IS NOT NULL")
     n = rows.count()
     segments, width = segment_plan(n, similarity, recall)
     words = max(WORDS, -(-segments * width // 64))
     p = differing(similarity)
-    most, few = (math.ceil(bits * (p + sd * math.sqrt(p * (1 - p) / bits))) for bits, sd in ((64 * words, 1.5), (64, 4)))
+    most, few = (math.ceil(bits * (p + LOOSE * math.sqrt(p * (1 - p) / bits))) for bits in (64 * words, 64))
     of = stored(fingerprints(rows, shingle, words, segments, width), "fingerprints")
     print_ = [f"fp{k}" for k in range(words)]
     classes = stored(of.groupBy("class").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in [*print_, "segs"]]), "classes")
@@ -191,7 +210,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5,
     met = stored(seen.where("size > 1").select("key", "id", near.alias("near"), (F.col("size") > 3).alias("crowded")).where("crowded OR size(near) > 0"), "met")
     chained = met.select("id", F.explode("near").alias("other")).where("id <> other").distinct()
     chained = stored(chained.join(left, "id").join(right, "other").where(close).select("id", "other"), "chained")
-    labels = components(chained.select(F.col("other").alias("a"), F.col("id").alias("b")))
+    labels = components(_alike(chained, rows, similarity, shingle))
 
     # What the chain leaves: pairs of buckets of four or more that aren't in one group yet
     crowded = met.where("crowded").join(labels, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("label", "id").alias("label"))
@@ -201,7 +220,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5,
     theirs = members.select("key", "block", F.col("id").alias("other"), F.col("label").alias("other_label")).join(right, "other")
     rest = mine.join(theirs, (mine["key"] == theirs["key"]) & (mine["block"] == theirs["block"]) & (F.col("label") != F.col("other_label")) & ((F.col("own") < mine["block"]) | (F.col("id") < F.col("other"))) & close)
     rest = rest.select(F.greatest("id", "other").alias("id"), F.least("id", "other").alias("other")).distinct().join(chained, ["id", "other"], "left_anti")
-    more = stored(rest, "rest").select(F.col("other").alias("a"), F.col("id").alias("b"))
+    more = _alike(stored(rest, "rest"), rows, similarity, shingle)
     over = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
     joined = components(more.join(over("a"), "a", "left").join(over("b"), "b", "left").select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b")))
 
