@@ -517,9 +517,11 @@ def recheck_report(spark, sf):
 
 @query()
 def best_match_ratio(spark, sf):
-    d = table(spark, sf, "documents").select(F.col("doc_id").alias("rec_id"), F.slice(F.split("text", "\n"), 1, 3).alias("own"), F.slice(F.split("text", "\n"), 2, 3).alias("ref"))
-    lines = d.select("rec_id", F.posexplode("own").alias("k", "text")).select("rec_id", (F.col("rec_id") * 10 + F.col("k")).alias("line_id"), F.left("text", F.lit(80)).alias("text"))
-    refs = d.select("rec_id", F.posexplode("ref").alias("idx", "ref_line")).withColumn("ref_line", F.left("ref_line", F.lit(80)))
+    """The reference is the text without its first line: that one has no equal there, unless it is repeated."""
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("rec_id"), F.split("text", "\n").alias("own"))
+    every = d.select("rec_id", F.posexplode("own").alias("k", "text"))
+    lines = every.select("rec_id", F.concat_ws(":", "rec_id", "k").alias("line_id"), "text")
+    refs = every.where("k > 0").select("rec_id", F.col("k").alias("idx"), F.col("text").alias("ref_line"))
     return matching.best_line(lines, refs).select("line_id", F.round("score", 9).alias("score"))
 
 
