@@ -490,11 +490,15 @@ def three_way_diff(spark, sf):
     return catalog.three_way(o.where(k % 5 != 0), b, "k", "v")
 
 
+def gap_at_seven(line):
+    return F.concat(F.substring(line, 1, 6), F.lit("□"), F.substring(line, F.lit(8), F.length(line)))
+
+
 def paired(spark: SparkSession, sf: str) -> DataFrame:
     """Every document beside a reference made of it: as it is, with other marks, with a gap, or another text."""
     d, k = table(spark, sf, "documents"), F.col("doc_id") % 5
-    lines = F.slice(F.split("text", "\n"), 1, 2)
-    gapped = F.transform(lines, lambda x: F.concat(F.substring(x, 1, 6), F.lit("□"), F.substring(x, 8, 10000)))
+    lines = F.split("text", "\n")
+    gapped = F.transform(lines, gap_at_seven)
     return d.select("doc_id", F.concat(F.lit("T"), "source").alias("title"), F.when(k != 3, F.col("source")).alias("author"), F.when(k != 4, "唐代").alias("dynasty"), F.when(k == 1, gapped).otherwise(lines).alias("lines"), F.concat(F.lit("T"), F.col("source")).alias("ref_title"), F.when(k == 2, "someone").otherwise(F.col("source")).alias("ref_author"), F.lit("唐").alias("ref_dynasty"), lines.alias("ref_lines"))
 
 
