@@ -537,6 +537,14 @@ def fill_placeholders(spark, sf):
     return d.select("doc_id", (similarity.fill_gaps(F.array(gapped), F.array("line")) == F.array("line")).alias("same"))
 
 
+@query()
+def fill_placeholders_whole(spark, sf):
+    """fill_placeholders is held by its SQL to prefixes of first lines; here every line of every document has a gap, and is filled from all its whole lines."""
+    lines = F.split("text", "\n")
+    d = table(spark, sf, "documents").select("doc_id", lines.alias("lines"), F.transform(lines, gap_at_seven).alias("gapped"))
+    return d.select("doc_id", F.sha2(F.array_join(similarity.fill_gaps("gapped", "lines"), "\n"), 256).alias("filled_sha256"))
+
+
 @query()
 def line_diff(spark, sf):
     d = table(spark, sf, "documents").withColumn("changed", F.regexp_replace("text", "(?m)^The ", "A "))
