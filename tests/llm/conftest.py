@@ -14,9 +14,17 @@ def odd(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     from pyspark.sql import functions as F
 
-    return df.withColumns({c: F.lit("clash") for c in ("digest", "key", "fp", "label", "_n", "h", "node", "slice", "tokens", "t")}).cache()
+    return df.withColumns({c: F.lit("clash") for c in ("digest", "key", "fp", "label", "_n", "h", "node", "slice", "tokens", "t", "_drop", "_doc", "_n_lines", "_n_dropped", "_score", "_predicted", "_nearest", "_gone", "_mixed", "_epoch", "_turn", "_place", "epoch", "place", "keep_id")}).cache()
 
 
 @pytest.fixture(scope="session")
 def empty(spark):
     return spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+
+
+@pytest.fixture(scope="session")
+def huge():
+    """A text of 50 MB: words, long lines, and one line that other texts have too."""
+    line = " ".join(f"{w}{i}" for i in range(300) for w in WORDS)
+    own = "\n".join(f"{k} {line}" for k in range(50_000_000 // len(line)))
+    return f"{own}\nA line that is long enough to count\nTOKEN = \"0cf1bbc67ab39b2ddebadc809bed189ed8c6ac4d\"\n"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -11,55 +13,99 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
+#: Folders of open scratch() blocks, by application.
+_SCRATCH: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, or a local one where it is unset (tests)."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir. In local mode, where it may be unset, a local one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     key = spark.sparkContext.applicationId
     if key not in _OWN:
         _OWN[key] = "file://" + tempfile.mkdtemp(prefix="versica-")
     return _OWN[key]
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nobody has; inside a scratch() block it goes with it."""
+    held = _SCRATCH.get(spark.sparkContext.applicationId)
+    return f"{held[-1] if held else shared_dir(spark) + '/versica'}/{uuid.uuid4().hex}/{name}"
+
+
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write df as a table in the shared folder and return a frame that reads it: lineage is cut, and no executor is needed to read it again."""
-    path = f"{shared_dir(df.sparkSession)}/versica/{uuid.uuid4().hex}/{name}"
+    path = path or new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is stored inside this block is deleted when it ends; what is to outlive it needs a path of its own, made before."""
+    held = _SCRATCH.setdefault(spark.sparkContext.applicationId, [])
+    held.append(f"{shared_dir(spark)}/versica/scratch-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        delete(spark, held.pop())
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def same_columns(df: DataFrame) -> list:
+    """df's columns, whatever their names hold."""
+    return [F.col(quoted(c)) for c in df.columns]
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with so many underscores before it that df has no such column."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only (doc_id, text), null texts as empty ones: extra columns, whatever their names, never reach an operator."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.coalesce(F.col(quoted(text_col)), F.lit("")).alias("text"))
 
 
-def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """Smaller batches, so that a worker holds few texts as Python objects at a time."""
-    for b in batches:
-        for k in range(0, b.num_rows, rows):
-            yield b.slice(k, rows)
+#: Rows and bytes that a worker takes up at a time, or one row. Spark itself sends no batch over spark.sql.execution.arrow.maxBytesPerBatch (64 MB) or one row.
+ROWS, BYTES = 1000, 4 << 20
 
 
-#: Rows of an Arrow batch, where the session has Spark's default: texts are long, and workers many.
-BATCH = 1000
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = ROWS, size: int = BYTES) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that a worker holds few texts as Python objects at a time."""
+    for b in batches:
+        step = max(1, min(rows, size * b.num_rows // max(1, b.nbytes)))
+        for k in range(0, b.num_rows, step):
+            yield b.slice(k, step)
 
 
-def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """mapInArrow with batches of few rows; Arrow's pool gives memory back between them."""
-    conf = df.sparkSession.conf
-    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))
+def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, rows: int = ROWS) -> DataFrame:
+    """mapInArrow with sliced batches; Arrow's pool gives memory back between them. The session's settings stay as they are."""
 
     def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool = pa.default_memory_pool()
-        for out in run(batches):
+        for out in run(sliced(batches, rows)):
             yield out
             pool.release_unused()
 
@@ -70,7 +116,7 @@ def arrow_map(df: DataFrame, rows: Callable[[pa.RecordBatch], pa.RecordBatch | N
     """mapInArrow with a function of one batch; empty results are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced(batches):
+        for b in batches:
             if b.num_rows and (out := rows(b)) is not None and out.num_rows:
                 yield out
 
