@@ -1,56 +1,74 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, distance-weighted votes.
 
-fit() learns from labelled rows only, at most EXAMPLES of each class (those first by a hash of doc_id), none held out:
-  - features are words, word beginnings (letters only, lower case), and either of them found 2, 3 or 5 times; the VOCABULARY
-    ones most associated with label 1 by chi-square are kept, if enough examples have them;
-  - document frequencies of those are counted over all documents;
-  - examples become unit TF-IDF vectors; one more term, which every text has as often as it has words, stands for all other
-    words, so that a text with one hit in many words is near clean texts;
-  - equal vectors are one entry of the inverted index; entries lie in blocks of BLOCK with each term's largest weight;
-  - votes are calibrated by isotonic regression on the examples' own votes, each without itself.
-score() finds every text's K nearest examples exactly: blocks are visited from the largest upper bound down, until none can
-reach the K-th cosine. Votes are weighted by cosine and by how many labelled rows of its class an example stands for.
-
-Labels, lang, source and doc_id are no inputs of a score. Defined cases: a null or empty text is scored like one
-without known features; equal cosines: the smaller doc_id is nearer; several labels of a doc_id: the
-largest counts; null labels are no labels; without labels of both classes, or features that tell them, every score is the share
-of label 1, of two more labels than there are (0 if none is 1);
-repeated rows come out repeated; a null doc_id is scored, and not held out; empty tables give no rows.
+fit() learns from labelled rows only, at most EXAMPLES of each class (those first by a hash of doc_id), none held out; this
+bound on labelled rows is the only one:
+  - terms are all words (runs of letters, lower case) of the examples; none is left out;
+  - a term weighs (1 + log tf) x idf x gain. Document frequencies are counted over all documents; gain is the information, in
+    bits, that the word's presence gives about the label among the examples, so that words of both classes, which are most of
+    a text, don't hide the few that tell them apart;
+  - examples are unit vectors, laid in blocks of BLOCK; the index has, for each term, the blocks that hold it with the term's
+    largest weight there, and for each of those the examples and their weights;
+  - votes are calibrated by isotonic regression on the examples' own votes, each by the examples of the other folds alone
+    (FOLDS_OF folds; gains and weights anew without it), as an unseen text would get them.
+score() finds every text's K nearest examples exactly: a block's largest possible cosine is bounded by its maxima; the most
+promising blocks are scored first, then all that can still reach the K-th cosine. Votes are weighted by cosine and by how many
+labelled rows of its class an example stands for.
+
+Labels, lang, source and doc_id are no inputs of a score. Defined cases: a text that shares no word with an example (null and
+empty texts too) has no neighbours, and its score is the share of label 1 among the labelled rows; equal cosines (to nine
+places): the smaller doc_id is nearer; several labels of a doc_id: the largest counts; null labels are no labels; several texts
+of a labelled doc_id: the largest counts; without labels of both classes every score is the share of label 1, of two more labels
+than there are (0 if none is 1); repeated rows come out repeated; a null doc_id is scored, and not held out; very long texts
+are counted piece by piece, whole; empty tables give no rows; extra columns stay as they are, and new ones get underscores
+before their names where docs has such columns.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructType
-
-from versica.llm.common import id_text, sliced, stored
-
-EXAMPLES, VOCABULARY, BLOCK, K = 3000, 1024, 16, 15
-#: A feature needs this chi-square, and this share of label-1 examples.
-CHI, SUPPORT = 30.0, 0.01
-FOLDS = 5
-#: Words whose features a worker keeps.
-CACHED = 100_000
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
+
+from versica.llm.common import id_text, in_arrow, quoted, stored, unused
+
+EXAMPLES, BLOCK, K = 2000, 8, 15
+FOLDS, FOLDS_OF = 5, 4
+#: Blocks that are scored before a bound is known; share of blocks above which a term's weights are kept densely.
+FIRST, FREQUENT = 4, 0.25
+#: Share of examples above which a term has a say in the order of examples.
+SHAPING = 0.005
+#: Characters that are split into words at a time.
+PIECE = 1 << 20
 _WORD = re.compile(r"[^\W\d_]+")
-BEGINNINGS, REPEATS = (4, 5, 6), (2, 3, 5)
-
-
-def features_of(word: str) -> list[str]:
-    return [word, *(f"^{word[:k]}" for k in BEGINNINGS if len(word) > k)]
 
 
 def held_out(doc_id: str):
     """SQL column: whether crc32 of the id as text is 0 mod FOLDS."""
-    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
+    return F.coalesce(F.crc32(F.col(quoted(doc_id)).cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
+
+
+def words_of(text: str) -> Counter[str]:
+    if len(text) <= PIECE:
+        return Counter(_WORD.findall(text.lower()))
+    counts: Counter[str] = Counter()
+    at = 0
+    while at < len(text):
+        end = at + PIECE
+        while end < len(text) and not text[end].isspace():
+            end += 1
+        counts.update(_WORD.findall(text[at:end].lower()))
+        at = end
+    return counts
 
 
 def isotonic(x: list[float], y: list[float], w: list[float]) -> tuple[list[float], list[float]]:
@@ -67,207 +85,256 @@ def isotonic(x: list[float], y: list[float], w: list[float]) -> tuple[list[float
     return [float(p[0] / p[2]) for p in out], [float(p[1] / p[2]) for p in out]
 
 
+def gain(ones: np.ndarray, every: np.ndarray, n1: int, n: int) -> np.ndarray:
+    """Bits that the presence of a word found in `every` of n examples, `ones` of them of the n1 with label 1, gives about the label."""
+
+    def entropy(p: np.ndarray) -> np.ndarray:
+        p = np.clip(p, 1e-15, 1 - 1e-15)
+        return -(p * np.log2(p) + (1 - p) * np.log2(1 - p))
+
+    without = np.maximum(1, n - every)
+    left = every / n * entropy(ones / every) + (1 - every / n) * entropy((n1 - ones) / without)
+    return np.maximum(entropy(np.array(n1 / n)) - left, 1e-9)
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each range, one after another."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
+def _alike(x: np.ndarray, size: int) -> np.ndarray:
+    """An order of the rows in which similar ones lie together: halves along the direction of most variance, again and again."""
+    done, todo = [], [np.arange(len(x))]
+    while todo:
+        own = todo.pop()
+        if len(own) <= size:
+            done.append(own)
+            continue
+        rows = x[own] - x[own].mean(axis=0)
+        along = rows[np.argmax((rows * rows).sum(axis=1))]
+        for _ in range(6):
+            along = (rows @ along) @ rows
+            along /= max(1e-30, float(np.sqrt(along @ along)))
+        order = own[np.argsort(rows @ along, kind="stable")]
+        half = size * max(1, len(own) // size // 2)
+        todo += [order[half:], order[:half]]
+    return np.concatenate(done) if done else np.zeros(0, np.int64)
+
+
 class Index:
-    """Labelled examples as a block-max inverted index. vectors: for each example {term: weight}, of length 1."""
-
-    def __init__(self, ids: list[int], labels: list[int], vectors: list[dict[int, float]], weights: tuple[float, float], terms: int):
-        self.weights, self.terms = weights, terms
-        entries: dict[tuple, list[tuple[int, int]]] = {}
-        for i, y, v in sorted(zip(ids, labels, vectors, strict=True), key=lambda x: x[0]):
-            entries.setdefault(tuple(sorted(v.items())), []).append((i, y))
-        # entries with the same heaviest terms lie together, which keeps the blocks' bounds tight
-        order = sorted(entries, key=lambda v: [t for t, _ in sorted(v, key=lambda x: (-x[1], x[0]))[:3]])
-        self.members = [entries[v] for v in order]
-        self.blocks: list[tuple[np.ndarray, np.ndarray]] = []
-        self.most = np.zeros((terms, max(1, -(-len(order) // BLOCK))))
-        for b in range(0, len(order), BLOCK):
-            own = order[b : b + BLOCK]
-            here = sorted({t for v in own for t, _ in v})
-            rows = {t: k for k, t in enumerate(here)}
-            postings = np.zeros((len(here), len(own)))
-            for j, v in enumerate(own):
-                for t, x in v:
-                    postings[rows[t], j] = x
-            self.most[here, len(self.blocks)] = postings.max(axis=1)
-            self.blocks.append((np.array(here), postings))
-
-    def nearest(self, query: dict[int, float], k: int = K, without: int | None = None) -> list[tuple[float, int, int]]:
-        """The k nearest examples with a cosine over 0, as (cosine, doc_id, label); without: the doc_id of one left out."""
-        if not query or not self.blocks:
-            return []
-        terms, q = list(query), np.array(list(query.values()))
-        bounds = q @ self.most[terms]
-        dense = np.zeros(self.terms)
-        dense[terms] = q
-        best: list[tuple[float, int, int]] = []
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[block] <= 0 or (len(best) == k and bounds[block] < best[-1][0] - 1e-8):
-                break
-            here, postings = self.blocks[block]
-            cosines = np.round(dense[here] @ postings, 9)
-            for j in np.flatnonzero(cosines >= max(1e-9, best[-1][0] if len(best) == k else 0)).tolist():
-                members = self.members[block * BLOCK + j]
-                best += [(float(cosines[j]), i, y) for i, y in members[: k + 1] if i != without]
-                best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
-        return best
-
-    def vote(self, near: list[tuple[float, int, int]]) -> float:
-        by = [0.0, 0.0]
-        for cosine, _, y in near:
-            by[y] += cosine * self.weights[y]
-        return by[1] / (by[0] + by[1])
+    """Labelled examples as a block-max inverted index. ids and labels of the examples; (at, terms, weights): example at[i] has terms[i] with weights[i], of length 1.
+
+    Terms found in most blocks have their maxima and weights in dense arrays; all others have lists of blocks and of examples."""
+
+    def __init__(self, ids: np.ndarray, labels: np.ndarray, at: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_terms: int, class_weights: tuple[float, float], shaped: bool = True):
+        # similar examples lie together, which keeps the blocks' bounds tight
+        common = np.flatnonzero(np.bincount(terms, minlength=n_terms) > max(1, len(ids) * SHAPING))
+        column = np.full(n_terms, -1, np.int64)
+        column[common] = np.arange(len(common))
+        held = column[terms] >= 0
+        shape = np.zeros((len(ids), len(common)), np.float32)
+        shape[at[held], column[terms[held]]] = weights[held]
+        order = _alike(shape, BLOCK) if shaped else np.lexsort((shape.argmax(axis=1) if len(common) else ids,))
+        place = np.empty(len(ids), np.int64)
+        place[order] = np.arange(len(ids))
+        self.ids, self.labels, self.class_weights = ids[order], labels[order], np.array(class_weights)[labels[order]]
+        self.n_blocks = -(-len(ids) // BLOCK)
+        at, weights = place[at], weights.astype(np.float32)
+        order = np.lexsort((at, terms))
+        example, weight, terms = at[order].astype(np.int32), weights[order], terms[order]
+        block = example // BLOCK
+        new = np.flatnonzero(np.r_[True, (np.diff(terms) != 0) | (np.diff(block) != 0)]) if len(terms) else np.zeros(0, np.int64)
+        frequent = np.flatnonzero(np.bincount(terms[new], minlength=n_terms) > self.n_blocks * FREQUENT)
+        self.slot = np.full(n_terms, -1, np.int32)  # of frequent terms: their column in the dense arrays
+        self.slot[frequent] = np.arange(len(frequent))
+        dense = self.slot[terms] >= 0
+        self.dense = np.zeros((self.n_blocks, len(frequent), BLOCK), np.float32)
+        self.dense[example[dense] // BLOCK, self.slot[terms[dense]], example[dense] % BLOCK] = weight[dense]
+        self.dense_most = np.ascontiguousarray(self.dense.max(axis=2).T)
+        self.example, self.weight, terms, block = example[~dense], weight[~dense], terms[~dense], block[~dense]
+        new = np.flatnonzero(np.r_[True, (np.diff(terms) != 0) | (np.diff(block) != 0)]) if len(terms) else np.zeros(0, np.int64)
+        self.entry_at = np.r_[new, len(terms)].astype(np.int32)  # of each (term, block): where its examples begin
+        self.entry_block = block[new]
+        self.entry_most = np.maximum.reduceat(self.weight, new) if len(new) else np.zeros(0, np.float32)
+        self.term_at = np.searchsorted(terms[new], np.arange(n_terms + 1)).astype(np.int32)  # of each term: where its entries begin
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
+        """(cosines, places) of the k nearest examples with a cosine over 0."""
+        slot = self.slot[terms]
+        often = slot >= 0
+        slot, often_weights, terms, weights = slot[often], weights[often], terms[~often], weights[~often]
+        starts = self.term_at[terms]
+        sizes = self.term_at[terms + 1] - starts
+        entries = _ranges(starts, sizes)
+        q, of = np.repeat(weights, sizes), self.entry_block[entries]
+        bounds = np.bincount(of, q * self.entry_most[entries], self.n_blocks) + often_weights.astype(np.float32) @ self.dense_most[slot]
+        open_ = bounds > 0
+        found, places = np.zeros(0), np.zeros(0, np.int64)
+        first = np.argpartition(-bounds, FIRST)[:FIRST] if self.n_blocks > FIRST else np.arange(self.n_blocks)
+        for last in (False, True):
+            if last:
+                open_[first] = False
+                if len(found) >= k:
+                    open_ &= bounds >= np.partition(found, len(found) - k)[len(found) - k] - 1e-5  # bounds are of single precision
+                now = np.flatnonzero(open_)
+            else:
+                now = first[open_[first]]
+            if not len(now):
+                continue
+            mask = np.full(self.n_blocks, -1, np.int32)
+            mask[now] = np.arange(len(now))
+            own = np.flatnonzero(mask[of] >= 0)
+            at = entries[own]
+            begin = self.entry_at[at]
+            counts = self.entry_at[at + 1] - begin
+            rows = _ranges(begin, counts)
+            example = self.example[rows]
+            members = (now[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            cosines = np.bincount(mask[example // BLOCK] * BLOCK + example % BLOCK, np.repeat(q[own], counts) * self.weight[rows], len(members))
+            if len(slot):
+                cosines = cosines + (often_weights @ self.dense[now[:, None], slot].astype(np.float64)).ravel()
+            cosines = np.round(cosines, 9)
+            at = np.flatnonzero(cosines)
+            found, places = np.r_[found, cosines[at]], np.r_[places, members[at]]
+        best = np.lexsort((self.ids[places], -found))[:k]
+        return found[best], places[best]
+
+    def vote(self, cosines: np.ndarray, places: np.ndarray) -> float:
+        w = cosines * self.class_weights[places]
+        return float(w @ self.labels[places] / w.sum())
 
 
 class Model:
-    """terms: the vocabulary, in order; its number of terms is that of the term for all words."""
-
-    def __init__(self, terms: list[str], share: float):
-        self.terms, self.share = {f: i for i, f in enumerate(terms)}, share
-        self.idf, self.index, self.steps = np.zeros(0), None, ([], [])
-        self.least: dict[str, list[tuple[int, int]]] = {}  # of each word or beginning: (times, term)
-        for i, f in enumerate(terms):
-            base, _, times = f.partition("#")
-            self.least.setdefault(base, []).append((int(times or 1), i))
-        self.known: dict[str, tuple[str, ...]] = {}
-        self.scores: dict[tuple, tuple[float, list[int]]] = {}
-
-    def counts(self, text: str) -> tuple[dict[int, int], int]:
-        """({term: times}, number of words) of a text."""
-        counts: Counter[str] = Counter()
-        words = _WORD.findall(text.lower())
-        for word, n in Counter(words).items():
-            own = self.known.get(word)
-            if own is None:
-                own = tuple(f for f in features_of(word) if f in self.least)
-                if len(self.known) < CACHED:
-                    self.known[word] = own
-            for f in own:
-                counts[f] += n
-        return {t: n if times == 1 else 1 for f, n in counts.items() for times, t in self.least[f] if n >= times}, len(words)
-
-    def unit(self, counts: dict[int, int], words: int) -> dict[int, float]:
-        v = {t: (1 + math.log(n)) * float(self.idf[t]) for t, n in sorted(counts.items())}
-        v[len(self.terms)] = round(1 + math.log(max(1, words)), 1)  # found in every text: an idf of 1
-        norm = math.sqrt(sum(x * x for x in v.values()))
-        return {t: x / norm for t, x in v.items()}
-
-    def calibrated(self, vote: float) -> float:
-        return float(np.interp(vote, *self.steps))
+    """A dictionary of words, their weights, the index and the calibration."""
+
+    def __init__(self, words: list[str], share: float):
+        self.words, self.share = {w: i for i, w in enumerate(words)}, share
+        self.weights, self.index, self.steps = np.zeros(len(words)), None, ([], [])
+
+    def known(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """(terms, how often) of a text."""
+        get = self.words.get
+        own = {t: n for w, n in words_of(text).items() if (t := get(w)) is not None}
+        return np.fromiter(own, np.int64, len(own)), np.fromiter(own.values(), np.int64, len(own))
 
     def score(self, text: str) -> tuple[float, list[int]]:
         """(score, doc_ids of the nearest examples)."""
         if self.index is None:
             return self.share, []
-        v = self.unit(*self.counts(text))
-        key = tuple(v.items())
-        if key in self.scores:
-            return self.scores[key]
-        near = self.index.nearest(v)
-        out = self.calibrated(self.index.vote(near)), [i for _, i, _ in near]
-        if len(self.scores) < CACHED // 10:
-            self.scores[key] = out
-        return out
+        terms, counts = self.known(text)
+        cosines, places = self.index.nearest(terms, _unit(self.weights, terms, counts))
+        if not len(places):
+            return self.share, []
+        return float(np.interp(self.index.vote(cosines, places), *self.steps)), self.index.ids[places].tolist()
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sampled texts -> doc_id, toxic, features and how often each occurs."""
-    kind = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("feature", pa.list_(pa.string())), ("n", pa.list_(pa.int32()))])
-    for b in sliced(batches):
-        out = []
-        for text in b.column("text").to_pylist():
-            counts: Counter[str] = Counter()
-            words = Counter(_WORD.findall(text.lower()))
-            for word, n in words.items():
-                for f in features_of(word):
-                    counts[f] += n
-            repeated = {f"{f}#{k}": 1 for f, n in counts.items() for k in REPEATS if n >= k}
-            out.append({**counts, **repeated, "": words.total()})
+    """Sampled texts -> doc_id, toxic, words and how often each occurs."""
+    kind = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("word", pa.list_(pa.string())), ("n", pa.list_(pa.int64()))])
+    for b in batches:
+        out = [words_of(t) for t in b.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic").cast(pa.int32()), pa.array([list(c) for c in out], kind.field(2).type), pa.array([list(c.values()) for c in out], kind.field(3).type)], schema=kind)
 
 
-def _frequencies(model: Model):
-    """Documents with each term, over a task's documents; term -1 counts documents."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[int] = Counter()
-        for b in sliced(batches):
-            for text in b.column("text").to_pylist():
-                counts.update([-1, *model.counts(text)[0]])
-        if counts:
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()), pa.array(list(counts.values()), pa.int64())], ["term", "n"])
-
-    return run
-
-
-def _known(terms: dict[str, int]):
-    """Sampled features -> those of the vocabulary."""
+def _frequencies(sent):
+    """Documents with each word of the dictionary, over a task's documents; term -1 counts documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, n = sent.value, 0
+        counts = np.zeros(len(words), np.int64)
         for b in batches:
-            own = [[(terms[f], n) for f, n in zip(fs, ns, strict=True) if f in terms] for fs, ns in zip(b.column("feature").to_pylist(), b.column("n").to_pylist(), strict=True)]
-            lists = [pa.array([[x[k] for x in row] for row in own], pa.list_(pa.int32())) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), *lists], ["doc_id", "toxic", "term", "n"])
+            for text in b.column("text").to_pylist():
+                counts[[t for w in words_of(text) if (t := words.get(w)) is not None]] += 1
+            n += b.num_rows
+        if n:
+            at = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, at], pa.int32()), pa.array(np.r_[n, counts[at]], pa.int64())], ["term", "n"])
 
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, vocabulary: int = VOCABULARY, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """A model of docs and labels(doc_id, toxic). What comes to the driver is bounded by examples and vocabulary."""
-    rows = id_text(docs, id_col, text_col)
+def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """A model of docs and labels(doc_id, toxic). What comes to the driver is bounded by the words of 2 x examples texts."""
+    spark, rows = docs.sparkSession, id_text(docs, id_col, text_col)
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") > 0).cast("int").alias("toxic")).where(~held_out("doc_id"))
     totals = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     share = totals.get(1, 0) / (sum(totals.values()) + 2)
-    empty = Model([], share)
     if len(totals) < 2:
-        return empty
+        return Model([], share)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = known.where("toxic = 0").orderBy(*order).limit(examples).unionByName(known.where("toxic = 1").orderBy(*order).limit(examples))
     sampled = rows.join(F.broadcast(stored(chosen, "chosen")), "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("text").alias("text"))  # 2 * examples rows at most
-    sample = stored(sampled.mapInArrow(_counted, "doc_id long, toxic int, feature array<string>, n array<int>"), "sample")
-    n = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    if len(n) < 2:
-        return empty
-    every, ones = F.lit(float(n[0] + n[1])), F.lit(float(n[1]))
-    found = sample.select("toxic", F.explode("feature").alias("feature")).groupBy("feature").agg(F.sum("toxic").alias("a"), F.count("*").alias("all"))
-    # chi-square of the two by two table, for features that are more frequent with label 1
-    off = F.col("a") * every - F.col("all") * ones
-    chi = every * off * off / (F.col("all") * (every - F.col("all")) * ones * (every - ones))
-    best = found.where((F.col("feature") != "") & (off > 0) & (F.col("a") >= max(2, SUPPORT * n[1])) & (F.col("all") < every)).withColumn("chi", chi).where(F.col("chi") >= CHI)
-    terms = [r.feature for r in best.orderBy(F.desc("chi"), "feature").limit(vocabulary).collect()]
-    if not terms:
-        return empty
-    model = Model(terms, share)
-    df = {r.term: r.n for r in rows.select("text").mapInArrow(_frequencies(model), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    model.idf = np.log((df.get(-1, 0) + 1) / (np.array([df.get(i, 0) for i in range(len(terms))]) + 1)) + 1
-    vectors = sample.mapInArrow(_known({**model.terms, "": -1}), "doc_id long, toxic int, term array<int>, n array<int>").orderBy("doc_id").collect()  # terms of the vocabulary only
-    weights = (totals[0] / n[0], totals[1] / n[1])
-    ids, marks, units = [r.doc_id for r in vectors], [r.toxic for r in vectors], []
-    for r in vectors:
-        counts = dict(zip(r.term, r.n, strict=True))
-        units.append(model.unit({t: k for t, k in counts.items() if t >= 0}, counts[-1]))
-    model.index = Index(ids, marks, units, weights, len(terms) + 1)
-    votes: dict[tuple, float] = {}  # examples alike in vector and label have the same vote without themselves, but for ties
-    own = []
-    for i, y, v in zip(ids, marks, units, strict=True):
-        key = (y, *v.items())
-        if key not in votes:
-            votes[key] = model.index.vote(near) if (near := model.index.nearest(v, without=i)) else float(y)
-        own.append((votes[key], float(y), weights[y]))
-    model.steps = isotonic(*map(list, zip(*own, strict=True)))
+    sample = stored(in_arrow(sampled, _counted, "doc_id long, toxic int, word array<string>, n array<long>"), "sample").toArrow().combine_chunks()
+    ids, marks = sample["doc_id"].to_numpy(), sample["toxic"].to_numpy()
+    if len(set(marks.tolist())) < 2:
+        return Model([], share)
+    lists = sample["word"].combine_chunks()
+    flat = pc.list_flatten(lists).dictionary_encode()
+    at, terms = pc.list_parent_indices(lists).to_numpy().astype(np.int64), flat.indices.to_numpy().astype(np.int64)
+    counts = pc.list_flatten(sample["n"].combine_chunks()).to_numpy()
+    model = Model(flat.dictionary.to_pylist(), share)
+    if not model.words:
+        return model
+    sent = spark.sparkContext.broadcast(model.words)
+    found = in_arrow(rows.select("text"), _frequencies(sent), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    sent.destroy()
+    df, place = np.zeros(len(model.words) + 1, np.int64), found["term"].to_numpy()
+    df[place] = found["n"].to_numpy()  # term -1 is the last
+    n_docs, df = int(df[-1]), df[:-1]
+    idf = np.log((n_docs + 1) / (df + 1)) + 1
+    totals = np.array([totals[0], totals[1]])
+    fold = np.array([zlib.crc32(f"fold {i}".encode()) % FOLDS_OF for i in ids.tolist()])
+    votes, truth, weight = [], [], []
+    for k in range(FOLDS_OF):
+        inside = fold != k
+        if len(set(marks[inside].tolist())) < 2:
+            continue
+        weights, index = _indexed(ids, marks, at, terms, counts, idf, totals, inside)
+        for i in np.flatnonzero(~inside).tolist():
+            own = slice(*np.searchsorted(at, [i, i + 1]))
+            cosines, near = index.nearest(terms[own], _unit(weights, terms[own], counts[own]))
+            if len(near):
+                votes.append(index.vote(cosines, near))
+                truth.append(float(marks[i]))
+                weight.append(totals[marks[i]] / int((marks == marks[i]).sum()))
+    if votes:
+        model.steps = isotonic(votes, truth, weight)
+        model.weights, model.index = _indexed(ids, marks, at, terms, counts, idf, totals)
     return model
 
 
+def _unit(weights: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    w = (1 + np.log(counts)) * weights[terms]
+    return w / (math.sqrt(w @ w) or 1.0)
+
+
+def _indexed(ids, marks, at, terms, counts, idf, totals, inside=None) -> tuple[np.ndarray, Index]:
+    """(term weights, index) of the examples, or of those inside."""
+    shaped = inside is None
+    if inside is not None:
+        kept = inside[at]
+        at, terms, counts, ids, marks = (np.cumsum(inside) - 1)[at[kept]], terms[kept], counts[kept], ids[inside], marks[inside]
+    ones, every = np.bincount(terms, marks[at], len(idf)), np.bincount(terms, None, len(idf))
+    weights = idf * gain(ones, np.maximum(every, 1), int(marks.sum()), len(marks)) * (every > 0)
+    own = (1 + np.log(counts)) * weights[terms]
+    own /= np.sqrt(np.bincount(at, own * own, len(ids)))[at]
+    return weights, Index(ids, marks, at, terms, own, len(idf), tuple(totals / np.bincount(marks, minlength=2)), shaped)
+
+
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs with three more columns: _score (double), _predicted (int), _nearest (doc_ids of the examples that voted)."""
+    """docs with three more columns at the end: _score (double), _predicted (int), _nearest (doc_ids of the examples that voted)."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    out = StructType(docs.schema.fields + StructType().add("_score", DoubleType()).add("_predicted", IntegerType()).add("_nearest", ArrayType(LongType())).fields)
+    new = zip(unused(docs, "_score", "_predicted", "_nearest"), (DoubleType(), IntegerType(), ArrayType(LongType())), strict=True)
+    out = StructType([*docs.schema.fields, *[StructField(name, kind) for name, kind in new]])
     schema = to_arrow_schema(out)
+    at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
-        for b in sliced(batches):
-            got = [own.score(t or "") for t in b.column(text_col).to_pylist()]
-            new = [pa.array([s for s, _ in got], pa.float64()), pa.array([int(s >= 0.5) for s, _ in got], pa.int32()), pa.array([near for _, near in got], schema.field("_nearest").type)]
-            yield pa.RecordBatch.from_arrays([*b.columns, *new], schema=schema)
+        for b in batches:
+            got = [own.score(t or "") for t in b.column(at).to_pylist()]
+            more = [pa.array([s for s, _ in got], pa.float64()), pa.array([int(s >= 0.5) for s, _ in got], pa.int32()), pa.array([near for _, near in got], schema.field(len(schema) - 1).type)]
+            yield pa.RecordBatch.from_arrays([*b.columns, *more], schema=schema)
 
-    return docs.mapInArrow(run, out)
+    return in_arrow(docs, run, out)
