@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from versica.llm import exact_dedup, html_extract, line_dedup, media, mixing, packing, secret_scan, simhash, toxicity, warc
-from versica.llm.common import documents
+from versica.llm.common import documents, new_path, scratch, stored
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -47,8 +47,14 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = exact_dedup.DigestIndex(spark, f"versica_digests_{uuid.uuid4().hex}")
-    return index.add(documents(spark, sf_dir).select("doc_id", "text"))
+    """documents go into an empty index in two batches; the index is dropped when the rows are written."""
+    path = new_path(spark, "exact_dedup")
+    with scratch(spark):
+        index = exact_dedup.DigestIndex(spark, f"versica_digests_{uuid.uuid4().hex}")
+        try:
+            return stored(index.add(documents(spark, sf_dir).select("doc_id", "text"), batches=2), "exact_dedup", path)
+        finally:
+            index.drop()
 
 
 def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +62,7 @@ def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.derive(warc.responses(spark.read.parquet(f"{sf_dir}/pages.parquet"))).drop("warc")
+    return warc.derive(warc.responses(spark.read.parquet(f"{sf_dir}/pages.parquet")))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,8 +4,10 @@ responses() writes a WARC/1.1 response record for each page; read_records() pars
 derive() makes of each response a metadata record (source headers, digests, title, counts) and a conversion record (plain
 text), both with WARC-Refers-To the response; segments() joins records into file images of bounded size.
 
-Defined cases: null html or url counts as empty; repeated pages give equal records, with equal identifiers; null page ids come
-out as they are; a cut-off record raises ValueError; records other than responses have no derivatives.
+Defined cases: null html or url counts as empty; equal rows (page id, url, html) are one capture met more than once: their
+records are equal, with equal identifiers; null page ids come out as they are; a cut-off record raises ValueError; records other
+than responses have no derivatives; very long pages are converted whole; an empty table gives no records; a null date is DATE;
+extra columns are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,8 +24,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from versica.llm.common import arrow_map
+from versica.llm.common import arrow_map, in_arrow, quoted
 
 NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "https://versica.invalid/warc")
 DATE = "2024-01-01T00:00:00Z"
@@ -52,11 +55,11 @@ def _field(value: str) -> str:
     return re.sub(r"[\x00-\x1f\x7f]+", " ", value).strip()
 
 
-def response(page_id: int | None, url: str | None, page: bytes | None) -> bytes:
+def response(page_id: int | None, url: str | None, page: bytes | None, date: str | None = None) -> bytes:
     page, url = page or b"", _field(url or "")
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(page)}\r\n\r\n".encode() + page
     payload = digest(page)
-    return record("response", block, [("WARC-Record-ID", identifier("response", str(page_id), url, payload)), ("WARC-Date", DATE), ("WARC-Target-URI", url), ("Content-Type", "application/http;msgtype=response"), ("WARC-Payload-Digest", payload)])
+    return record("response", block, [("WARC-Record-ID", identifier("response", str(page_id), url, payload)), ("WARC-Date", _field(date or "") or DATE), ("WARC-Target-URI", url), ("Content-Type", "application/http;msgtype=response"), ("WARC-Payload-Digest", payload)])
 
 
 def read_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -108,34 +111,53 @@ def derivatives(fields: dict[str, str], block: bytes) -> list[tuple[str, str, by
     ]
 
 
-def responses(pages: DataFrame) -> DataFrame:
-    """page_id, warc: a response record for each row of pages(page_id, url, html)."""
+def responses(pages: DataFrame, date_col: str | None = None) -> DataFrame:
+    """page_id, warc: a response record for each row of pages(page_id, url, html); date_col: a column of capture dates, as text."""
 
     def rows(b: pa.RecordBatch) -> pa.RecordBatch:
-        out = [response(i, u, h.encode() if h is not None else None) for i, u, h in zip(b.column("page_id").to_pylist(), b.column("url").to_pylist(), b.column("html").to_pylist(), strict=True)]
+        each = zip(*(b.column(n).to_pylist() for n in ("page_id", "url", "html", "date")), strict=True)
+        out = [response(i, u, h.encode() if h is not None else None, d) for i, u, h, d in each]
         return pa.RecordBatch.from_arrays([b.column("page_id"), pa.array(out, pa.binary())], ["page_id", "warc"])
 
-    return arrow_map(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html"), rows, "page_id long, warc binary")
+    date = F.col(quoted(date_col)).cast("string") if date_col else F.lit(None).cast("string")
+    return arrow_map(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", date.alias("date")), rows, "page_id long, warc binary")
+
+
+#: What derive() returns of each record.
+RECORD = (
+    "page_id long, record_type string, record_id string, refers_to string, target_uri string, warc_date string, source_status string, source_headers map<string, string>, "
+    "source_payload_digest string, source_block_digest string, block_digest string, n_bytes long, text string, warc binary"
+)
+
+
+def source_headers(block: bytes) -> tuple[str, dict[str, str]]:
+    """Status line, and headers by lower-case name (the last of a name counts), of an HTTP response."""
+    status, *lines = block.partition(b"\r\n\r\n")[0].decode("utf-8", "replace").split("\r\n")
+    return status, {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
 
 
 def derive(records: DataFrame) -> DataFrame:
-    """From (page_id, warc): page_id, record_type, record_id, refers_to, target_uri, source_payload_digest, block_digest, n_bytes, warc."""
-    names = ["page_id", "record_type", "record_id", "refers_to", "target_uri", "source_payload_digest", "block_digest", "n_bytes", "warc"]
+    """From (page_id, warc), RECORD for each derived record: what it refers to, the source's status, headers and digests, its own
+    digest and bytes, the text of a conversion (null for metadata), and the whole WARC record."""
+    kinds = [pa.int64(), *[pa.string()] * 6, pa.map_(pa.string(), pa.string()), *[pa.string()] * 3, pa.int64(), pa.string(), pa.binary()]
+    names = StructType.fromDDL(RECORD).names
 
     def rows(b: pa.RecordBatch) -> pa.RecordBatch | None:
         out = []
         for page_id, data in zip(b.column("page_id").to_pylist(), b.column("warc").to_pylist(), strict=True):
             for fields, block in read_records(data):
                 if fields.get("warc-type") == "response":
+                    status, headers = source_headers(block)
                     for kind, own, made, n in derivatives(fields, block):
                         body = made[-n - 4 : -4]
-                        out.append((page_id, kind, own, fields["warc-record-id"], fields.get("warc-target-uri", ""), fields.get("warc-payload-digest", ""), digest(body), n, made))
+                        text = body.decode() if kind == "conversion" else None
+                        about = (page_id, kind, own, fields["warc-record-id"], fields.get("warc-target-uri", ""), fields.get("warc-date", DATE), status, list(headers.items()))
+                        out.append((*about, fields.get("warc-payload-digest", ""), fields.get("warc-block-digest", ""), digest(body), n, text, made))
         if not out:
             return None
-        kinds = [pa.int64(), *[pa.string()] * 6, pa.int64(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
-    return arrow_map(records, rows, "page_id long, record_type string, record_id string, refers_to string, target_uri string, source_payload_digest string, block_digest string, n_bytes long, warc binary")
+    return arrow_map(records, rows, RECORD)
 
 
 def segments(records: DataFrame, most_bytes: int = 1 << 27) -> DataFrame:
@@ -157,4 +179,4 @@ def segments(records: DataFrame, most_bytes: int = 1 << 27) -> DataFrame:
         if held:
             yield out()
 
-    return records.mapInArrow(run, "image binary, n_records long")
+    return in_arrow(records, run, "image binary, n_records long")
