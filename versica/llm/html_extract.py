@@ -1,17 +1,23 @@
 """Main text of web pages: flat text blocks, classified by a decision tree.
 
-A page becomes a flat list of text blocks. A block is described by its words and link density, those of its neighbours, and
-by what holds it (an element or a class that names furniture; an article). A decision tree trained on the labelled pages
-below decides which blocks are main text.
+A page becomes a flat list of text blocks. A block is described by its words and link density, by those of the blocks before
+and after it, by where it lies (in an article, in an element or under an exact class name that furniture has; a page may have
+neither), whether it is a heading, and by its share of words that notices are made of. A decision tree trained on a small
+labelled table, the pages below, decides which blocks are main text; no feature decides alone. Class names are whole tokens or
+their last part ("cookie-notice", but not "legal-news" or "has-sidebar"), and count for nothing on what holds the article, the
+main element or the first heading.
 
-Defined cases: null html is empty; a page without main text gives ''; cut-off pages are read as far as they go, a tag without
-its end is dropped; scripts, styles and hidden elements are no blocks; repeated rows and null ids come out as they are.
+Defined cases: null html is empty; a page without main text gives '' (an empty table no rows); cut-off pages are read as far
+as they go, a tag without its end is dropped; scripts, styles and hidden elements are no blocks; very long pages are read
+whole; a share of exactly one half counts as main text; repeated rows and null ids come out as they are; extra columns are not
+looked at, whatever their names.
 """
 
 from __future__ import annotations
 
 import functools
 import html
+import random
 import re
 
 import pyarrow as pa
@@ -35,13 +41,31 @@ UNSEEN = frozenset("script style noscript template".split())  # skipped, and no
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 FURNITURE = frozenset("nav aside footer form menu dialog head".split())
-#: Words in class, id or role that name what is not main text.
+#: Class, id and role tokens, or last parts of them, of what is not main text.
 NAMES = frozenset(
     "ad ads adv advert advertisement adverts advertising adsense banner banners breadcrumb breadcrumbs comment comments commentlist complementary consent contentinfo cookie cookies copyright dialog discussion disqus "
     "footer footnav gdpr header legal login masthead menu menubar modal nav navbar navigation navi newsletter notice notices notification outbrain overlay pager pagination popup promo promotion promoted "
-    "recommend recommended recommendations related replies respond responses search share sharing sidebar sidenav signup skip social sponsor sponsored subscribe subscription taboola teaser toc toolbar topbar widget widgets".split()
+    "recommendations related replies respond responses search share sharing sidebar sidenav signup skip social sponsor sponsored subscribe subscription taboola teaser toc toolbar topbar widget widgets".split()
 )
-FEATURES = ("words", "link density", "words before", "link density before", "words after", "link density after", "furniture", "in article", "heading")
+#: First parts of tokens that tell about a page, not about the element.
+ABOUT = frozenset("has no with without is not page layout js body".split())
+#: Words that notices are made of, in four languages.
+NOTICES = frozenset(
+    "© copyright rights reserved cookie cookies consent privacy policy terms accept subscribe subscriber newsletter signup login advert advertisement advertising sponsored promotion offer offers adblock imprint "
+    "rechte vorbehalten datenschutz einwilligung akzeptieren abonnieren anzeige werbung impressum droits réservés confidentialité accepter abonnez publicité sponsorisé derechos reservados privacidad aceptar suscríbete publicidad patrocinado".split()
+)
+#: Examples of notices, and the words that one has at most.
+NOTICE_TEXTS = ("We use cookies to improve this site. Accept all cookies?", "© 2024 Example Press. All rights reserved.", "Subscribe to our newsletter for weekly offers.", "Advertisement", "Sponsored content", "Copyright by the publisher", "Read our privacy policy and terms of use.", "This site needs your consent to store cookies on your device. You may accept or change the settings.", "Sign up for the newsletter")
+NOTICE_WORDS = 60
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+FEATURES = ("words", "link density", "words before", "link density before", "words after", "link density after", "place", "element", "named", "heading", "notice words")
+_SPLIT = re.compile(r"[\W_]+")
+
+
+def _is_name(token: str) -> bool:
+    token = token.lower()
+    parts = _SPLIT.split(token)
+    return token in NAMES or (parts[-1] in NAMES and parts[0] not in ABOUT)
 
 
 def _named(rest: str) -> tuple[bool, bool, str]:
@@ -50,7 +74,7 @@ def _named(rest: str) -> tuple[bool, bool, str]:
     for m in _ATTRIBUTE.finditer(rest):
         name, value = m[1].lower(), (m[2] or "").strip("\"'")
         if name in ("class", "id", "role"):
-            furniture = furniture or any(w.lower() in NAMES for w in _WORDS.findall(value))
+            furniture = furniture or any(map(_is_name, value.split()))
         elif name == "style":
             hidden = hidden or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
         elif name == "data-y":
@@ -61,9 +85,10 @@ def _named(rest: str) -> tuple[bool, bool, str]:
 
 
 def blocks(page: str) -> list[dict]:
-    """Flat text blocks in page order: text, words, linked, furniture, article, heading, label."""
+    """Flat text blocks in page order: text, words, linked, element, named, article, heading, label."""
     out: list[dict] = []
-    stack: list[tuple[str, bool, bool, bool, str]] = []  # tag, furniture, article, hidden, label; each as inherited
+    stack: list[tuple[str, bool, tuple[int, ...], bool, bool, str]] = []  # tag, in a furniture element, named elements around, article, hidden, label; each as inherited
+    named_elements: list[bool] = []  # whether each is furniture still
     parts: list[str] = []
     linked: list[str] = []
     state = {"links": 0}
@@ -71,9 +96,9 @@ def blocks(page: str) -> list[dict]:
     def flush() -> None:
         text = " ".join("".join(parts).split())
         if text:
-            _, furniture, article, _, label = stack[-1] if stack else ("", False, False, False, "")
-            heading = any(t[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for t in stack[-3:])
-            out.append({"text": text, "words": len(text.split()), "linked": len("".join(linked).split()), "furniture": furniture, "article": article, "heading": heading, "label": label})
+            _, element, names, article, _, label = stack[-1] if stack else ("", False, (), False, False, "")
+            heading = any(t[0] in HEADINGS for t in stack[-3:])
+            out.append({"text": text, "words": len(text.split()), "linked": len("".join(linked).split()), "element": element, "named": names, "article": article, "heading": heading, "label": label})
         parts.clear()
         linked.clear()
 
@@ -82,7 +107,7 @@ def blocks(page: str) -> list[dict]:
         m = _TOKEN.match(page, at)
         at = m.end()
         if (text := m["text"]) is not None:
-            if not (stack and stack[-1][3]):
+            if not (stack and stack[-1][4]):
                 text = html.unescape(text) if "&" in text else text
                 parts.append(text)
                 if state["links"]:
@@ -119,42 +144,88 @@ def blocks(page: str) -> list[dict]:
                 state["links"] -= gone == "a"
                 if gone == tag:
                     break
-        _, furniture, article, hidden, label = stack[-1] if stack else ("", False, False, False, "")
+        _, element, names, article, hidden, label = stack[-1] if stack else ("", False, (), False, False, "")
         named, gone_, y = _named(rest) if rest else (False, False, "")
-        if tag in ("html", "body"):
-            named = False
-        article = article or tag in ("article", "main")
-        furniture = furniture or tag in FURNITURE or (tag == "header" and not article) or (named and not (tag in ("article", "main") or (tag == "header" and article)))
-        stack.append((tag, furniture, article, hidden or gone_, y or label))
+        if tag in ("main", "h1") or (tag == "article" and not named):  # what holds these is no furniture, whatever it is called
+            for k in names:
+                named_elements[k] = False
+            element = element and not (tag != "h1" and all(t[0] not in ("nav", "aside", "footer", "menu", "dialog", "head") for t in stack))
+        if named and tag not in ("html", "body", "main", "h1") and not (tag == "header" and article):
+            names = (*names, len(named_elements))
+            named_elements.append(True)
+        article = article or tag == "main" or (tag == "article" and not named)
+        element = element or tag in FURNITURE or (tag == "header" and not article)
+        stack.append((tag, element, names, article, hidden or gone_, y or label))
         state["links"] += tag == "a"
     flush()
+    for block in out:
+        block["named"] = any(named_elements[k] for k in block["named"])
     return out
 
 
 def described(found: list[dict]) -> list[list[float]]:
     """FEATURES of each block."""
-    own = [(b["words"], min(1.0, b["linked"] / b["words"])) for b in found]
-    around = [(0, 0.0), *own, (0, 0.0)]
-    return [[*map(float, around[i + 1] + around[i] + around[i + 2]), float(b["furniture"]), float(b["article"]), float(b["heading"])] for i, b in enumerate(found)]
+    own = [(float(b["words"]), min(1.0, b["linked"] / b["words"])) for b in found]
+    around = [(0.0, 0.0), *own, (0.0, 0.0)]
+    has_article = any(b["article"] for b in found)
+    out = []
+    for i, b in enumerate(found):
+        notices = sum(w in NOTICES for w in re.findall(r"©|[^\W\d_]+", b["text"].lower())) if b["words"] <= NOTICE_WORDS else 0
+        out.append([*around[i + 1], *around[i], *around[i + 2], 2.0 if b["article"] else 0.0 if has_article else 1.0, float(b["element"]), float(b["named"]), float(b["heading"]), min(1.0, notices / b["words"])])
+    return out
+
+
+def _text(pick: random.Random, words: int) -> str:
+    """A made-up sentence of so many words."""
+    syllables = "ba co de fi gu la me ni so ta re vo".split()
+    return " ".join("".join(pick.choice(syllables) for _ in range(pick.randint(1, 4))) for _ in range(words)).capitalize() + "."
+
 
+def labelled_pages(seed: int = 11, each: int = 24) -> list[str]:
+    """The labelled table, as pages whose elements carry their label (data-y) for all blocks in them.
 
-def _long(n: int, word: str = "words") -> str:
-    return " ".join([f"Some {word} of a sentence that goes on"] * -(-n // 8)) + "."
+    `each` of every layout, varied by a generator. Half of the pages have neither article nor main element; class names are on
+    main text as often as on furniture, furniture mostly has names that say nothing, and nothing but words, links and
+    neighbours tells the blocks of such pages apart."""
+    pick = random.Random(seed)
+    link = lambda n: f'<a href="/x">{_text(pick, n)[:-1]}</a>'
+    links = lambda: "".join(f'<div data-y="0">{link(pick.randint(1, 5))} {link(pick.randint(1, 7))}</div>' for _ in range(pick.randint(2, 5)))
+    menu = lambda: f'<ul data-y="0">{"".join(f"<li>{link(pick.randint(1, 3))}</li>" for _ in range(pick.randint(2, 7)))}</ul>'
+    para = lambda n: f'<p data-y="1">{_text(pick, n)}</p>'
+    cited = lambda n: f'<p data-y="1">{_text(pick, n)} {link(pick.randint(1, 3))} {_text(pick, n)}</p>'
+    label = lambda: f'<div data-y="0">{_text(pick, pick.randint(1, 4))}</div>'
+    notice = lambda: f'<div data-y="0">{pick.choice(NOTICE_TEXTS)}</div>'
+    lengths = [1, 2, 3, 5, 8, 14, 25, 40, 70, 120]
 
+    def body() -> str:
+        out = [para(pick.randint(20, 90))]
+        for _ in range(pick.randint(2, 7)):
+            out.append(pick.choice((para, para, cited))(pick.choice(lengths)))
+        return "".join([*out, para(pick.randint(18, 80))])
 
-def labelled_pages() -> list[str]:
-    """The labelled table, as pages whose elements carry their label (data-y) for all blocks in them."""
-    nav = '<nav data-y="0"><ul><li><a href="/">Home</a></li><li><a href="/n">News</a></li><li><a href="/s">Sport and more</a></li></ul></nav>'
-    links = '<div data-y="0"><a href="/a">Other story here</a> <a href="/b">One more story</a></div><div data-y="0"><a href="/c">Read on</a></div>'
+    title = lambda k=1: f'<h{k} data-y="1">{_text(pick, pick.randint(2, 9))[:-1]}</h{k}>'
+    some_class = lambda: pick.choice(["", "", ' class="c1 wide"', ' class="legal-news"', ' class="has-sidebar"', ' id="content"', ' class="search-help"'])
+    named = lambda: f'<div class="{pick.choice(["ad", "cookie-notice", "site-footer", "share", "comments", "newsletter"])}" data-y="0"><p>{_text(pick, pick.choice(lengths))}</p></div>'
+    furniture = lambda: pick.choice([named(), notice(), label() + links()])
+    own = lambda: pick.choice(["", para(pick.choice(lengths)), f'<p data-y="1">{pick.choice(NOTICE_TEXTS)}</p>'])  # noqa: E731  an article may speak of rights and offers
     pages = []
-    for n in (2, 6, 15, 40, 90):
-        text = "".join(f'<p data-y="1">{_long(k)}</p>' for k in (n, 60, n, 3, 120))
+    for _ in range(each):
         pages += [
-            f'<body>{nav}<div class="ad" data-y="0">{_long(n, "offers")}</div><article data-y="1"><h1>A title of some words</h1><p>Ok.</p>{text}</article><footer data-y="0">&copy; {_long(n)}</footer></body>',
-            f'<body><header data-y="0"><h2>Site name</h2><p>{_long(n)}</p></header><main data-y="1"><h2>Part</h2>{text}<ul><li>One point</li><li>Two points of it</li></ul><div class="comments" data-y="0"><p>{_long(n, "opinions")}</p></div></main>'
-            f'<aside data-y="0"><h3>More</h3><p>{_long(n)}</p></aside><form data-y="0"><label>Your mail</label><p>{_long(n)}</p></form></body>',
-            f'<body><div data-y="0"><a href="/">Home</a> <a href="/x">Next</a></div><div><h1 data-y="1">A title of some words</h1>{text}</div>{links}<div id="cookie-notice" data-y="0">{_long(n, "cookies")}</div><div class="footer" data-y="0">{_long(n)}</div></body>',
-            f'<body>{links}<table><tr><td data-y="1">{_long(80)}</td></tr><tr><td data-y="1">{_long(50)} <a href="/q">source</a></td></tr></table>{links}<div class="sidebar" data-y="0"><p>{_long(n)}</p></div></body>',
+            f"<body>{menu()}<div{some_class()}>{title()}{body()}</div>{links()}{notice()}</body>",
+            f"<body>{links()}{label()}{links()}<div{some_class()}>{title()}{body()}{title(2)}{body()}</div>{label()}{links()}{label()}{links()}</body>",
+            f"<body>{label()}{menu()}{notice()}{title(2)}{body()}{menu()}{label()}{menu()}{notice()}</body>",
+            f"<body><table><tr><td>{menu()}</td><td{some_class()}>{body()}<ul>{''.join(f'<li data-y={chr(34)}1{chr(34)}>{_text(pick, pick.randint(1, 6))}</li>' for _ in range(4))}</ul>{para(40)}</td></tr></table>{links()}</body>",
+            f"<body><nav data-y='0'>{menu()}</nav>{furniture()}<article{some_class()}>{title()}{body()}{own()}{para(pick.choice(lengths))}</article>{furniture()}<footer data-y='0'>{_text(pick, pick.choice(lengths))}</footer></body>",
+            f"<body><header data-y='0'><h2>{_text(pick, 2)}</h2><p>{_text(pick, pick.choice(lengths))}</p></header><main>{title(pick.randint(1, 2))}{para(pick.choice(lengths))}{body()}{named()}"
+            f"<aside data-y='0'><p>{_text(pick, pick.choice(lengths))}</p></aside></main><div data-y='0'>{_text(pick, pick.choice(lengths))}</div><form data-y='0'><p>{_text(pick, pick.choice(lengths))}</p></form></body>",
+            f"<body>{pick.choice(['', title()])}{pick.choice(['', para(pick.choice(lengths))])}{body()}</body>",
+            f"<body>{pick.choice(['', title(2), label()])}{para(pick.choice(lengths))}{body()}{pick.choice(['', notice(), links()])}</body>",
+            f"<div{some_class()}><article>{pick.choice(['', title()])}{''.join(para(pick.choice(lengths)) for _ in range(pick.randint(1, 4)))}{own()}</article></div>{pick.choice(['', label(), notice()])}",
+            f"{pick.choice(['', menu(), label(), '<nav data-y=0>' + menu() + '</nav>'])}<main>{''.join(para(pick.choice(lengths)) for _ in range(pick.randint(1, 4)))}{own()}{pick.choice(['', named()])}</main>",
+            f"<body>{''.join(para(pick.choice(lengths)) for _ in range(pick.randint(1, 2)))}</body>",
+            *(f"{pick.choice([menu(), links()])}<{at}>{para(pick.choice(lengths))}{own()}</{at}>" for at in ("article", "main")),
+            *(f"<body>{para(n)}</body>" for n in pick.sample(lengths, 2)),
+            f"<body><div class='topbar' data-y='0'>{_text(pick, pick.choice(lengths))}</div><div{some_class()}>{title()}{para(pick.choice(lengths))}{body()}</div><div class='comments' data-y='0'><p>{_text(pick, pick.choice(lengths))}</p><p>{_text(pick, 30)}</p></div></body>",
         ]
     return pages
 
@@ -167,7 +238,7 @@ def model() -> Tree:
         found = blocks(page)
         rows += described(found)
         labels += [int(b["label"] == "1") for b in found]
-    return grow(rows, labels, depth=6, leaf=3)
+    return grow(rows, labels, depth=14, leaf=3)
 
 
 def main_text(page: str | None) -> str:
