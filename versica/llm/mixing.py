@@ -1,29 +1,39 @@
 """Temperature mixing of sources, with DataFrame operations only.
 
-Source s with T_s tokens gets the weight T_s^a / sum(T^a). The exponent a is bisected to meet a repetition limit (no source
-is repeated more than `repeats` times as often as the least repeated one) or a target entropy of the weights, in nats. The
-budget in tokens is what lets every source through once at least (its default) or a given number.
+Source s with T_s tokens gets the weight T_s^a / sum(T^a). The exponent a is found by bisection: for a repetition limit (no
+source is repeated more than `repeats` times as often as the least repeated one) within [0, 1], from the largest and the
+smallest source; for a target entropy of the weights, in nats, by cutting [0, ...) into SECTIONS parts again and again, each
+time with one aggregation over the sources, which stay rows. The budget in tokens is what lets every source through once at
+least (its default) or a given number.
 
 Weights are realised as block permutations: a source's documents fall into blocks of about BLOCK documents by a hash, each
 epoch permutes blocks and documents in blocks by another hash, and the last, partial epoch takes documents in that order up
-to the source's budget. Running sums are over blocks, then over the documents of the one block where the budget ends; so no
-task ever sorts a whole source.
+to the source's budget. Running sums are over ranges of the permutation (RANGES of an epoch), then over the blocks of a range,
+then over the documents of the one block where the budget ends; so no task ever sorts a whole source, or all its blocks.
 
 Defined cases: a null source is the source '' ; a null text has no tokens; a source without tokens comes once, whole; rows of
 one doc_id are one document (their tokens add up, the smallest source counts, and all come out in each epoch it is in); a null
-doc_id is one more document; without documents there are no rows; other columns are kept as they are.
+doc_id is one more document; equal hashes go by block number and doc_id; an entropy that no exponent gives (over that of equal
+weights, or under that of the largest sources alone) is a ValueError; very long texts are counted whole; without documents there
+are no rows; extra columns are kept as they are.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from versica.llm.common import stored
+from versica.llm.common import quoted, same_columns, stored, unused
 
 BLOCK = 1024
-STEPS = 40
+STEPS, SECTIONS = 40, 16
+#: Hexadecimal digits of the hash of a block that name its range.
+RANGES = 2
+#: Sources whose shares may be sent to all tasks (some 60 bytes each).
+BROADCAST = 50_000
 
 
 def tokens(text: Column) -> Column:
@@ -35,16 +45,11 @@ def _hash(*parts: Column | str) -> Column:
     return F.md5(F.concat_ws(":", *[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts]))
 
 
-def exponent(sizes: Column, repeats: float | None, entropy: float | None) -> Column:
-    """Bisection over [0, 1] inside one expression; sizes: an array of the sources' tokens, as doubles."""
-    if (repeats is None) == (entropy is None):
-        raise ValueError("give either a repetition limit or a target entropy")
+def for_repeats(ratio: Column, repeats: float) -> Column:
+    """Bisection over [0, 1] inside one expression; ratio: tokens of the largest source over those of the smallest."""
 
-    def fits(a: Column) -> Column:
-        if repeats is not None:  # more repetition for a smaller exponent
-            return F.pow(F.array_max(sizes) / F.array_min(sizes), F.lit(1.0) - a) <= F.lit(float(repeats))
-        total = F.aggregate(sizes, F.lit(0.0), lambda s, t: s + F.pow(t, a))
-        return F.aggregate(sizes, F.lit(0.0), lambda s, t: s - F.pow(t, a) / total * F.log(F.pow(t, a) / total)) <= F.lit(float(entropy))
+    def fits(a: Column) -> Column:  # more repetition for a smaller exponent
+        return F.pow(ratio, F.lit(1.0) - a) <= F.lit(float(repeats))
 
     def half(s: Column, _: Column) -> Column:
         mid = (s["lo"] + s["hi"]) / 2
@@ -55,41 +60,102 @@ def exponent(sizes: Column, repeats: float | None, entropy: float | None) -> Col
     return F.when(fits(F.lit(0.0)), F.lit(0.0)).otherwise(F.ceil(found * 1e6) / 1e6)
 
 
-def plan(docs: DataFrame, repeats: float | None = 4.0, entropy: float | None = None, budget: int | None = None, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """A row per document and epoch: doc_id, source, n_tokens, epoch (from 0), block_rank (the block's place in the source's epoch, from
-    1), place (in the block, from 1)."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), tokens(F.col(text_col)).alias("n_tokens"))
+def _entropies(sizes: DataFrame, most: float, exponents: list[float]) -> list[float]:
+    """Entropy of the weights t^a of sizes(t), for each a."""
+    x = F.col("t") / F.lit(most)
+    sums = [F.struct(F.sum(F.pow(x, F.lit(a))).alias("z"), F.sum(F.pow(x, F.lit(a)) * F.log(x)).alias("s")).alias(f"a{i}") for i, a in enumerate(exponents)]
+    row = sizes.agg(*sums).first()
+    return [math.log(v.z) - a * v.s / v.z for a, v in zip(exponents, row, strict=True)]
+
+
+def for_entropy(sizes: DataFrame, entropy: float) -> float:
+    """The exponent that gives the weights of sizes(t) this entropy, to 1e-6."""
+    most, n = sizes.agg(F.max("t"), F.count("*")).first()
+    ties = sizes.where(F.col("t") == most).count()
+    if not math.log(ties) <= entropy <= math.log(n):
+        raise ValueError(f"no exponent gives the entropy {entropy}: {math.log(ties):.6f} to {math.log(n):.6f} can be met")
+    if entropy == math.log(n):
+        return 0.0
+    lo, hi = 0.0, None
+    above = [float(2**k) for k in range(SECTIONS)]
+    for a, h in zip(above, _entropies(sizes, most, above), strict=True):  # entropy falls as the exponent grows
+        if h <= entropy:
+            hi = a
+            break
+        lo = a
+    if hi is None:
+        return lo
+    while hi - lo > 1e-7 * max(1.0, hi):
+        cuts = [lo + (hi - lo) * k / SECTIONS for k in range(1, SECTIONS)]
+        for a, h in zip(cuts, _entropies(sizes, most, cuts), strict=True):
+            if h <= entropy:
+                hi = a
+                break
+            lo = a
+    return math.ceil(hi * 1e6) / 1e6
+
+
+def _placed(docs: DataFrame, repeats: float | None = 4.0, entropy: float | None = None, budget: int | None = None, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """plan() with the hash by which blocks are permuted."""
+    if (repeats is None) == (entropy is None):
+        raise ValueError("give either a repetition limit or a target entropy")
+    rows = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.coalesce(F.col(quoted(source_col)).cast("string"), F.lit("")).alias("source"), tokens(F.col(quoted(text_col))).alias("n_tokens"))
     light = stored(rows.groupBy("doc_id").agg(F.min("source").alias("source"), F.sum("n_tokens").alias("n_tokens")), "light")
-    by = light.groupBy("source").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n"))
-    sizes = by.where("t > 0").agg(F.collect_list(F.col("t").cast("double")).alias("sizes"))  # a number for each source
-    fixed = sizes.where(F.size("sizes") > 0).select("sizes", exponent(F.col("sizes"), repeats, entropy).alias("a"))
-    fixed = fixed.select("a", F.array_max("sizes").alias("most"), F.aggregate("sizes", F.lit(0.0), lambda s, t: s + F.pow(t, F.col("a"))).alias("norm")).first()  # three numbers
-    a, most, norm = fixed or (1.0, 1.0, 1.0)
+    by = stored(light.groupBy("source").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n")), "sources")
+    sizes = by.where("t > 0").select(F.col("t").cast("double").alias("t"))
+    ends = sizes.agg(F.max("t").alias("most"), F.min("t").alias("least"))
+    most = ends.first()["most"] or 1.0
+    if repeats is not None:
+        a = ends.select(F.coalesce(for_repeats(F.col("most") / F.col("least"), repeats), F.lit(1.0))).first()[0]
+    else:
+        a = for_entropy(sizes, entropy) if sizes.limit(1).count() else 1.0
     size = F.col("t").cast("double")
-    times = F.pow(F.lit(most) / size, F.lit(1.0 - a)) if budget is None else F.lit(float(budget)) * F.pow(size, F.lit(a - 1.0)) / F.lit(norm)
+    if budget is None:
+        times = F.pow(F.lit(most) / size, F.lit(1.0 - a)) if a <= 1 else F.pow(size / F.lit(sizes.agg(F.min("t")).first()[0]), F.lit(a - 1.0))
+    else:
+        norm = sizes.agg(F.sum(F.pow(F.col("t") / F.lit(most), F.lit(a)))).first()[0] or 1.0
+        times = F.lit(float(budget)) * F.pow(size / F.lit(most), F.lit(a)) / F.lit(norm) / size
     shares = by.withColumn("times", F.round(F.when(F.col("t") > 0, times).otherwise(1.0), 6))
     shares = shares.select("source", F.floor("times").alias("full"), F.floor((F.col("times") - F.floor("times")) * F.col("t")).alias("part"), F.ceil(F.col("n") / BLOCK).alias("blocks"))
     shares = stored(shares.withColumn("epochs", F.col("full") + (F.col("part") > 0).cast("long")).where("epochs > 0"), "shares")
+    shares = F.broadcast(shares) if shares.count() <= BROADCAST else shares
 
     number = F.conv(F.substring(_hash(seed, "block", F.col("doc_id")), 1, 8), 16, 10).cast("long")
     at = light.join(shares, "source").withColumn("block", F.pmod(number, F.col("blocks")))
     at = at.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("epochs") - 1)))
     blocks = at.groupBy("source", "epoch", "block", "full", "part").agg(F.sum("n_tokens").alias("bt"))
-    order = W.partitionBy("source", "epoch").orderBy(_hash(seed, "order", F.col("epoch"), F.col("source"), F.col("block")), "block")
-    blocks = blocks.withColumn("block_rank", F.row_number().over(order).cast("long")).withColumn("before", F.sum("bt").over(order.rowsBetween(W.unboundedPreceding, -1)))
+    blocks = blocks.withColumn("turn", _hash(seed, "order", F.col("epoch"), F.col("source"), F.col("block")))
+    blocks = stored(blocks.withColumn("range", F.substring("turn", 1, RANGES)), "blocks")
+    runs = W.partitionBy("source", "epoch").orderBy("range").rowsBetween(W.unboundedPreceding, -1)  # 16^RANGES rows at most
+    ranges = blocks.groupBy("source", "epoch", "range").agg(F.sum("bt").alias("rt"), F.count("*").alias("rn"))
+    ranges = ranges.select("source", "epoch", "range", F.coalesce(F.sum("rt").over(runs), F.lit(0)).alias("range_before"), F.coalesce(F.sum("rn").over(runs), F.lit(0)).alias("range_rank"))
+    order = W.partitionBy("source", "epoch", "range").orderBy("turn", "block")
+    blocks = blocks.join(ranges, ["source", "epoch", "range"])
+    blocks = blocks.withColumn("block_rank", (F.col("range_rank") + F.row_number().over(order)).cast("long")).withColumn("before", F.col("range_before") + F.coalesce(F.sum("bt").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     # what is left of the part for this block; a full epoch takes all
-    left = F.when(F.col("epoch") >= F.col("full"), F.col("part") - F.coalesce("before", F.lit(0)))
-    blocks = blocks.select("source", "epoch", "block", "block_rank", left.alias("left")).where("left IS NULL OR left > 0")
+    left = F.when(F.col("epoch") >= F.col("full"), F.col("part") - F.col("before"))
+    blocks = blocks.select("source", "epoch", "block", "turn", "block_rank", left.alias("left")).where("left IS NULL OR left > 0")
     inside = W.partitionBy("source", "epoch", "block").orderBy(_hash(seed, "doc", F.col("epoch"), F.col("doc_id")), "doc_id")
     out = at.select("doc_id", "source", "n_tokens", "epoch", "block").join(blocks, ["source", "epoch", "block"])
     out = out.withColumn("place", F.row_number().over(inside).cast("long")).withColumn("upto", F.sum("n_tokens").over(inside.rowsBetween(W.unboundedPreceding, 0)))
-    return out.where("left IS NULL OR upto <= left").select("doc_id", "source", "n_tokens", "epoch", "block_rank", "place")
+    return out.where("left IS NULL OR upto <= left").select("doc_id", "source", "n_tokens", "epoch", "turn", "block_rank", "place")
+
+
+def plan(docs: DataFrame, **parameters) -> DataFrame:
+    """A row per document and epoch: doc_id, source, n_tokens, epoch (from 0), block_rank (the block's place in the source's epoch, from
+    1), place (in the block, from 1)."""
+    return _placed(docs, **parameters).drop("turn")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", **parameters) -> DataFrame:
-    """docs as the mixture's rows: a document comes once for each epoch that it is in. Row order carries no meaning; plan() has the places."""
-    chosen = plan(docs, id_col=id_col, **parameters).select(F.col("doc_id").alias("_mixed"))
-    return docs.join(chosen, F.expr(f"CAST(`{id_col}` AS LONG) <=> _mixed")).drop("_mixed")
+    """docs as the mixture's rows: a document comes once for each epoch that it is in. Each task's rows are in the order of the
+    permutation (epochs one after another, blocks of all sources by their hash, documents by their places), so files written
+    from them are mixed."""
+    key, epoch, turn, place = unused(docs, "_mixed", "_epoch", "_turn", "_place")
+    chosen = _placed(docs, id_col=id_col, **parameters)
+    chosen = chosen.select(F.col("doc_id").alias(key), F.col("epoch").alias(epoch), F.col("turn").alias(turn), F.col("place").alias(place))
+    met = docs.join(chosen, F.col(quoted(id_col)).cast("long").eqNullSafe(F.col(key)))
+    return met.sortWithinPartitions(epoch, turn, place).select(*same_columns(docs))
 
 
 ORACLE = r"""
