@@ -1,17 +1,21 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest, with DataFrame operations only.
 
-candidates() takes every run of at least LEAST key characters that has a digit, with up to NEAR characters before and after
-it. described() gives each its features: length, character transitions, shares of kinds of characters, dictionary coverage,
-whether it looks like a path, and the words beside it. The forest is grown on labelled findings (a table made by rule, from
-known forms of secrets and of what is mistaken for them), and becomes one expression: a mean of nested CASEs.
+candidates() takes what is assigned to a word that asks for a secret (password: ..., "token" = ..., Bearer ...), of SHORT or more
+signs other than white space, quotes, commas and semicolons, and every other run of at least LEAST key characters
+([A-Za-z0-9_+/=-]), digits or not; with up to NEAR characters before and after it. described() gives each its features: length,
+character transitions, shares of kinds of characters, dictionary coverage, whether it looks like a path, and the words beside
+it. The forest is grown on the labelled findings in findings.tsv, and becomes one expression: a mean of nested CASEs.
 
 Defined cases: a null or empty text has no findings; a candidate found twice in a text is two findings; repeated rows give
-repeated findings; a null doc_id comes out as it is; scores are exact multiples of what trees vote, so ties can't hide.
+repeated findings; a null doc_id comes out as it is; scores are exact multiples of what trees vote, and a tie of votes (a score
+of one half) is a secret; very long texts are scanned whole; an empty table has no findings; extra columns are not looked at,
+whatever their names.
 """
 
 from __future__ import annotations
 
 import functools
+import pathlib
 import random
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,23 +24,28 @@ from pyspark.sql import functions as F
 from versica.llm.common import id_text
 from versica.llm.tree import Tree, grow
 
-LEAST, NEAR = 16, 40
-CANDIDATE = f"[A-Za-z0-9_+/=-]{{{LEAST},}}"
-TREES, DEPTH = 15, 5
+LEAST, SHORT, NEAR = 16, 6, 40
+#: What asks for a value, up to the value.
+ASKED = r"""(?i:(?:passw(?:or)?d|passwd|pwd|secret|token|credentials?|key)["']?\s{0,3}[:=]\s{0,3}["']?|bearer\s{1,3})"""
+CANDIDATE = rf"""{ASKED}[^\s"',;]{{{SHORT},}}|[A-Za-z0-9_+/=-]{{{LEAST},}}"""
+TREES, DEPTH = 25, 6
 #: Fixed words: what names a secret beside it, what names something else, and words that identifiers are made of.
 ASKING = "api apikey auth authorization bearer client credential credentials key passwd password private pwd secret token".split()
 DENYING = "card checksum commit digest example etag hash id invoice md5 order phone placeholder rev revision sample sha sha1 sha256 test tracking uuid version".split()
 DICTIONARY = "about access account admin and api app author backup base blob build cache client code commit common component config content core count create data date default demo dev document dummy error example feature file final form from function get group handler head home html http image index info input item java json key lib line link list local log main master message model module name native node note object online order output page part password path placeholder plugin post prod project query read release report request resource response result root sample script secret section server service session set setting site size source start state static string style sub system table task template test text the thread time title token tool type update url user util value version video view web with word write xxxx your".split()
+FINDINGS = pathlib.Path(__file__).with_name("findings.tsv")
 FEATURES = ("n", "moves", "digits", "uppers", "marks", "kinds", "repeats", "covered", "path", "asks", "denies", "assigned", "groups")
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, place (ordinal among a text's candidates, from 0), candidate, before, after."""
     rows = id_text(docs, id_col, text_col).where(F.col("text").rlike(CANDIDATE))
-    parts = rows.select("doc_id", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"), F.transform(F.split("text", CANDIDATE, -1), lambda x: F.struct(F.right(x, F.lit(NEAR)).alias("tail"), F.left(x, F.lit(NEAR)).alias("head"))).alias("rest"))
-    each = parts.select("doc_id", F.posexplode("found").alias("place", "candidate"), "rest")
-    each = each.select("doc_id", F.col("place").cast("long").alias("place"), "candidate", F.col("rest")[F.col("place")]["tail"].alias("before"), F.col("rest")[F.col("place") + 1]["head"].alias("after"))
-    return each.where(F.col("candidate").rlike("[0-9]"))
+    around = F.transform(F.split("text", CANDIDATE, -1), lambda x: F.struct(F.right(x, F.lit(NEAR)).alias("tail"), F.left(x, F.lit(NEAR)).alias("head")))
+    parts = rows.select("doc_id", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"), around.alias("rest"))
+    each = parts.select("doc_id", F.posexplode("found").alias("place", "found"), "rest")
+    each = each.withColumn("candidate", F.regexp_replace("found", f"^{ASKED}", "")).withColumn("asked", F.expr("left(found, length(found) - length(candidate))"))
+    before = F.right(F.concat(F.col("rest")[F.col("place")]["tail"], "asked"), F.lit(NEAR))
+    return each.select("doc_id", F.col("place").cast("long").alias("place"), "candidate", before.alias("before"), F.col("rest")[F.col("place") + 1]["head"].alias("after"))
 
 
 def _share(text: Column, pattern: str) -> Column:
@@ -54,7 +63,7 @@ def described(found: DataFrame) -> DataFrame:
         "moves": F.length(F.regexp_replace(kinds, r"(.)\1*", "$1")) / F.length(c),
         "digits": _share(c, "[0-9]"),
         "uppers": _share(c, "[A-Z]"),
-        "marks": _share(c, "[_+/=-]"),
+        "marks": _share(c, "[^A-Za-z0-9]"),
         "kinds": F.size(F.array_distinct(F.split(c, ""))) / F.least(F.length(c), F.lit(36)),
         "repeats": _share(c, r"(.)\1"),
         "covered": 1 - F.length(F.regexp_replace(F.lower(c), "|".join(sorted(DICTIONARY, key=len, reverse=True)), "")) / F.length(c),
@@ -71,30 +80,15 @@ def _either(a: Column, b: Column) -> Column:
     return a | b
 
 
-def labelled(spark: SparkSession, each: int = 24) -> DataFrame:
-    """Labelled findings: candidate, before, after, secret (1 or 0); `each` of every form, varied by a hash of its number."""
-    h = "sha1(concat('finding', id))"
-    words = f"array({', '.join(repr(w) for w in DICTIONARY[::3])})"
-    pick = lambda k: f"{words}[cast(conv(substr({h}, {k}, 6), 16, 10) AS long) % size({words})]"
-    near = [["token = \"", "api_key: '", "password=", "Authorization: Bearer ", "secret = \"", "client_secret: "], ["value = \"", "x: ", "see ", "", "and the ", "set "], ["commit ", "sha1: ", "id=", "checksum ", "order ", "example "]]
-    forms = [  # (candidate, kinds of words before, secret)
-        (h, 0, 1), (f"upper({h})", 0, 1), (f"substr(base64(unhex(sha2({h}, 256))), 1, 40)", 0, 1), (f"substr(base64(unhex(sha2({h}, 256))), 1, 40)", 1, 1), (f"concat('AKIA', upper(substr(translate(sha2({h}, 256), '0189abcd', 'GHJKQRST'), 1, 16)))", 1, 1),
-        (f"concat('ghp_', substr(translate(base64(unhex(sha2({h}, 256))), '+/=', 'xyz'), 1, 36))", 1, 1), (f"concat('sk_live_', substr(translate(base64(unhex(sha2({h}, 256))), '+/=', 'xyz'), 1, 24))", 0, 1), (f"substr({h}, 1, 32)", 0, 1), (f"concat(substr({h}, 1, 8), '-', substr({h}, 9, 4), '-', substr({h}, 13, 4), '-', substr({h}, 17, 4), '-', substr({h}, 21, 12))", 1, 0),
-        (h, 2, 0), (f"sha2({h}, 256)", 2, 0), (f"substr({h}, 1, 32)", 2, 0), (f"substr(translate({h}, 'abcdef', '123456'), 1, 16)", 1, 0), (f"substr(translate({h}, 'abcdef', '123456'), 1, 18)", 2, 0), (f"concat({pick(1)}, '_', {pick(7)}, '_', {pick(13)}, '_', id)", 1, 0), (f"concat({pick(1)}, '-', {pick(7)}, '-', {pick(13)}, '-', id, '0')", 0, 0),
-        (f"concat({pick(1)}, '/', {pick(7)}, '/', {pick(13)}, '/', substr({h}, 1, 7))", 1, 0), ("concat('xxxxxxxxxxxxxxxx', id)", 0, 0), ("concat('0000000000000000', id)", 0, 0), ("concat('your_secret_key_here_', id)", 0, 0), (f"concat({pick(2)}, {pick(9)}, {pick(15)}, {pick(21)}, id)", 0, 0), ("concat('20240101T', 120000 + id, '_build_', id)", 1, 0),
-    ]
-    out = None
-    for i, (form, kind, secret) in enumerate(forms):
-        before = f"array({', '.join(repr(x) for x in near[kind])})[id % {len(near[kind])}]"
-        part = spark.range(i * each, (i + 1) * each, 1, 1).selectExpr(f"{form} AS candidate", f"{before} AS before", "array('', '\" and', ' the', '.')[id % 4] AS after", f"{secret} AS secret", "id")
-        out = part if out is None else out.unionByName(part)
-    return out
+def labelled(spark: SparkSession) -> DataFrame:
+    """The labelled findings: id, candidate, before, after, secret (1 or 0)."""
+    plain = lambda x: x.replace("\\n", "\n").replace("\\t", "\t").replace("\\\\", "\\")
+    rows = [line.split("\t") for line in FINDINGS.read_text().splitlines()[1:]]
+    return spark.createDataFrame([(i, plain(c), plain(b), plain(a), int(y)) for i, (y, c, b, a) in enumerate(rows)], "id long, candidate string, before string, after string, secret int")
 
 
-@functools.cache
-def _forest(application: str) -> tuple[Tree, ...]:
-    spark = SparkSession.getActiveSession()
-    rows = described(labelled(spark)).orderBy("id").select("secret", *FEATURES).collect()  # a few hundred, by rule
+def grown(rows: list) -> tuple[Tree, ...]:
+    """TREES trees, each on a sample with replacement of rows(secret, FEATURES)."""
     pick = random.Random(7)
     trees = []
     for _ in range(TREES):
@@ -103,6 +97,12 @@ def _forest(application: str) -> tuple[Tree, ...]:
     return tuple(trees)
 
 
+@functools.cache
+def _forest(application: str) -> tuple[Tree, ...]:
+    spark = SparkSession.getActiveSession()
+    return grown(described(labelled(spark)).orderBy("id").select("secret", *FEATURES).collect())  # of a few hundred rows
+
+
 def forest(spark: SparkSession) -> tuple[Tree, ...]:
     return _forest(spark.sparkContext.applicationId)
 
