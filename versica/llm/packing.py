@@ -6,13 +6,19 @@
 3. The underfull bins are the items of the next round, with fewer tasks (a tree merge), and so on. A task never gets more
    than ITEMS bins. The last round emits all; so do bins that a round could not join with any other.
 
+Rounds end when one task is left, when nothing can be joined any more, or after `rounds`; what is underfull then is emitted as
+it is, so these limits cost free places, never pieces.
+
 Defined cases: a null or empty text is one piece of one id (the end); repeated rows are packed each on their own; a null
-doc_id is kept; without documents there are no pieces.
+doc_id is kept; pieces of equal length go in the order in which their task reads them, and of bins with equal free places the
+last one opened is filled; very long texts are tokenized piece by piece, whole; without documents there are no pieces; extra
+columns are not looked at, whatever their names.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -23,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from versica.llm.common import id_text, sliced, stored
+from versica.llm.common import id_text, in_arrow, stored
 
 SEQUENCE, END = 4096, 1
 #: Bins that a task of a later round packs at most, about; and free places that a bin emitted early may have.
@@ -33,6 +39,17 @@ WORDS = 200_000
 
 # Texts of these characters only are split into words here, as the tokenizer's own rules would; all others go to the tokenizer whole.
 _LETTERS = "a-zß-öø-ÿœšž"
+#: Characters that are tokenized at a time, and where a long text may be cut.
+LONG, _GAP = 1 << 20, re.compile(r"[ \n](?=[A-Za-z])")
+#: The description of the rules that are rebuilt here.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLITTER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 _PLAIN = re.compile(f"[\n\r\t\x20-\x7e{_LETTERS}À-ÖØ-ÞŒŠŽ¡-©«¬®-±´¶-¸»¿]*")
 _SPLIT = re.compile(f"[{_LETTERS}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\\s{_LETTERS}0-9]+")
 
@@ -65,7 +82,10 @@ class Tokens:
         return np.array([t.id for t in self.tokenizer.model.tokenize(letters)], "<u4").tobytes()
 
     def _splits_alike(self) -> bool:
-        """Whether a probe of the plain characters gets the same ids by words; else all texts go to the tokenizer whole."""
+        """Whether the tokenizer normalizes and splits by the rules that are rebuilt here, by its own description and by a probe; else all texts go to the tokenizer whole."""
+        rules = json.loads(self.tokenizer.to_str())
+        if (rules["normalizer"], rules["pre_tokenizer"], rules["model"].get("dropout")) != (_NORMALIZER, _SPLITTER, None):
+            return False
         plain = "".join(c for c in map(chr, range(0x20, 0x180)) if _PLAIN.fullmatch(c))
         probes = [plain, " ".join(plain), "It's we'll 'tis don't\n\tx'RE 12ab34 a--b, (c)\r\nÀÉß 'd\"'s", "".join(f"a{c}b {c}{c} 1{c}" for c in plain)]
         return all(self._words(p) == self._whole(p) for p in probes)
@@ -83,9 +103,21 @@ class Tokens:
                 self.known[w] = self._word(w)
             return b"".join(map(self.known.__getitem__, words))
 
-    def ids(self, text: str) -> bytes:
+    def _piece(self, text: str) -> bytes:
         return self._words(text) if self.by_words and "<|" not in text and _PLAIN.fullmatch(text) else self._whole(text)
 
+    def ids(self, text: str) -> bytes:
+        """Of very long texts piece by piece, where the rules split words at white space anyhow."""
+        if len(text) <= LONG or not self.by_words:
+            return self._piece(text)
+        out, at = [], 0
+        while at < len(text):
+            cut = _GAP.search(text, at + LONG)
+            end = cut.end() if cut else len(text)
+            out.append(self._piece(text[at:end]))
+            at = end
+        return b"".join(out)
+
 
 @functools.cache
 def _tokens(path: str) -> Tokens:
@@ -101,7 +133,7 @@ def pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _tokens(tokenizer)
-        for b in sliced(batches):
+        for b in batches:
             doc, piece, start, length, crc = [], [], [], [], []
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
                 ids = tokens.ids(text.as_py()) + last
@@ -114,7 +146,7 @@ def pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end: int =
                     crc.append(zlib.crc32(own))
             yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), *[pa.array(x, pa.int64()) for x in (start, length, crc)]], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return in_arrow(docs, run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -196,14 +228,14 @@ def pack(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end: int = E
     spark = docs.sparkSession
     first = stored(pieces(id_text(docs, id_col, text_col), tokenizer, sequence, end), "pieces")
     tasks = max(1, first.rdd.getNumPartitions())
-    bins = stored(first.mapInArrow(_round(0, sequence, True, SLACK), _BIN), "bins0")
+    bins = stored(in_arrow(first, _round(0, sequence, True, SLACK), _BIN, ITEMS), "bins0")
     finished: list[DataFrame] = []
     left = bins.where("NOT done").count()
     for k in range(1, rounds):
         finished.append(bins.where("done"))
         items = bins.where("NOT done")
         tasks = max(1, -(-tasks // FAN_IN), -(-left // ITEMS))
-        packed = items.coalesce(tasks).mapInArrow(_round(k, sequence, False, SLACK), _BIN)
+        packed = in_arrow(items.coalesce(tasks), _round(k, sequence, False, SLACK), _BIN, ITEMS)
         bins, was = stored(packed, f"bins{k}"), left
         left = bins.where("NOT done").count()
         if tasks == 1 or left == 0 or (left > 0.99 * was and tasks <= -(-left // ITEMS)):

@@ -14,7 +14,8 @@ are compared, block by block. Fingerprints make candidates only: these are verif
 Only distinct fingerprints take part, or there distinct sets of shingles: copies are one class. Defined cases: a null or empty text has no words, and
 fingerprint zero, linked like any other; a text of fewer words than a shingle is one shingle; a null doc_id takes part in
 links but is no component's id unless it is alone with others like it (then null), and near_duplicates() never drops it;
-repeated rows come out repeated; no documents, no rows; extra columns are not looked at.
+repeated rows come out repeated; very long texts are taken whole, piece by piece; no documents, no rows; extra columns are not
+looked at, whatever their names; a tie of votes (a bit set in exactly half of the hashes) is 0.
 """
 
 from __future__ import annotations
@@ -32,26 +33,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from versica.llm.common import binary, components, id_text, in_arrow, sliced, stored
+from versica.llm.common import binary, components, id_text, in_arrow, quoted, stored, unused
 
 SEED, CAP = 42, 64
 #: Fingerprint words for similarity thresholds: 1024 bits tell similarities to within about 0.03.
 WORDS = 16
 #: Standard deviations, of bits that differ, that candidates may be off; members of a crowded bucket that one task compares at a time.
 LOOSE, BLOCK = 6, 1000
+#: The same for the first 64 bits, which are looked at before whole fingerprints meet.
+LOOSE_FIRST = 4
+#: Bytes that are split into words at a time.
+PIECE, SPACES = 1 << 20, frozenset(b" \t\n\v\f\r")
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)[None, :]) & 1).astype(np.float64)
 
 
-def shingle_hashes(text: bytes, n: int) -> list[int]:
-    """XXH64 of each n-word shingle, repeats included. bytes.lower() changes A-Z only and bytes.split() splits at ASCII white space."""
-    words = text.lower().split()
-    if not words:
-        return []
-    joined = b" ".join(words)
-    if len(words) <= n:
-        return [xxhash.xxh64_intdigest(joined, SEED)]
-    starts = [0, *(x + 1 for x in accumulate(map(len, words), lambda a, b: a + 1 + b))]
-    return [xxhash.xxh64_intdigest(joined[a : b - 1], SEED) for a, b in zip(starts, starts[n:])]
+def shingle_hashes(text: bytes, n: int) -> np.ndarray:
+    """XXH64 of each n-word shingle, repeats included. bytes.lower() changes A-Z only and bytes.split() splits at ASCII white space.
+
+    A very long text is taken piece by piece, each with the last n - 1 words of the one before."""
+    out: list[np.ndarray] = []
+    words: list[bytes] = []
+    at = 0
+    while True:
+        end = at + PIECE
+        while end < len(text) and text[end] not in SPACES:
+            end += 1
+        words += text[at:end].lower().split()
+        at = end
+        if len(words) > n or (out and len(words) == n):
+            joined = b" ".join(words)
+            starts = [0, *(x + 1 for x in accumulate(map(len, words), lambda a, b: a + 1 + b))]
+            out.append(np.array([xxhash.xxh64_intdigest(joined[a : b - 1], SEED) for a, b in zip(starts, starts[n:])], np.uint64))
+            words = words[len(words) - n + 1 :] if n > 1 else []
+        if at >= len(text):
+            break
+    if out:
+        return np.concatenate(out)
+    return np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)] if words else [], np.uint64)
 
 
 def _mixed(h: np.ndarray, k: int) -> np.ndarray:
@@ -64,10 +82,10 @@ def _mixed(h: np.ndarray, k: int) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def votes(hashes: list[list[int]], words: int) -> np.ndarray:
+def votes(hashes: list[np.ndarray], words: int) -> np.ndarray:
     """Fingerprints (documents, words) of documents' hashes: a bit is set if it is in more than half of them."""
     counts = np.array([len(h) for h in hashes])
-    flat = np.array([x for h in hashes for x in h], np.uint64)
+    flat = np.concatenate([np.zeros(0, np.uint64), *hashes])
     of = np.repeat(np.arange(len(hashes)) * 256, counts)
     out = np.zeros((len(hashes), words), np.uint64)
     weights = np.uint64(1) << np.arange(8, dtype=np.uint64)
@@ -89,7 +107,7 @@ def fingerprints(docs: DataFrame, shingle: int, words: int = 1, segments: int =
     """doc_id, fp0, fp1, ... for docs(doc_id, text); with segments, of distinct shingles, and also segs, an array of them, and class, a digest of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced(batches):
+        for b in batches:
             ids, held, n = [], [], 0
 
             def out() -> pa.RecordBatch:
@@ -97,13 +115,13 @@ def fingerprints(docs: DataFrame, shingle: int, words: int = 1, segments: int =
                 cols = [pa.array(ids, pa.int64()), *[pa.array(fp[:, k].copy().view(np.int64)) for k in range(words)]]
                 if segments:
                     cols.append(pa.ListArray.from_arrays(pa.array(np.arange(len(fp) + 1) * segments, pa.int32()), pa.array(_cut(fp, segments, width).ravel())))
-                    cols.append(pa.array([hashlib.sha256(np.array(h, np.uint64)).hexdigest() for h in held], pa.string()))
+                    cols.append(pa.array([hashlib.sha256(h).hexdigest() for h in held], pa.string()))
                 return pa.RecordBatch.from_arrays(cols, names)
 
             for doc_id, text in zip(b.column("doc_id").to_pylist(), binary(b.column("text")), strict=True):
                 ids.append(doc_id)
                 hashes = shingle_hashes(text, shingle)
-                held.append(sorted(set(hashes)) if segments else hashes)
+                held.append(np.unique(hashes) if segments else hashes)
                 n += len(held[-1])
                 if n > 200_000 or len(held) >= 256:
                     yield out()
@@ -113,7 +131,7 @@ def fingerprints(docs: DataFrame, shingle: int, words: int = 1, segments: int =
 
     names = ["doc_id", *[f"fp{k}" for k in range(words)], *["segs", "class"] * bool(segments)]
     schema = ", ".join(["doc_id long", *[f"fp{k} long" for k in range(words)], *["segs array<long>", "class string"] * bool(segments)])
-    return docs.mapInArrow(run, schema)
+    return in_arrow(docs, run, schema)
 
 
 def _ball(value: str, width: int) -> str:
@@ -170,18 +188,20 @@ def _alike(pairs: DataFrame, rows: DataFrame, similarity: float, shingle: int) -
     """Edges (a, b): the pairs(id, other) of rows(doc_id, text) whose sets of shingles have this Jaccard similarity or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = lru_cache(16)(lambda text: frozenset(shingle_hashes(text, shingle)))
-        for b in sliced(batches, 250):
+        held = lru_cache(16)(lambda text: np.unique(shingle_hashes(text, shingle)))
+        for b in batches:
             keep = []
             for x, y in zip(binary(b.column("text")), binary(b.column("other_text")), strict=True):
                 x, y = held(x), held(y)
-                keep.append(x == y or len(x & y) / len(x | y) >= similarity)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                every = len(x) + len(y) - both
+                keep.append(not every or both / every >= similarity)
             yield pa.RecordBatch.from_arrays([b.column("other"), b.column("id")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     ids = pairs.select(F.explode(F.array("id", "other")).alias("doc_id")).distinct()
     texts = rows.join(ids, "doc_id", "left_semi").distinct()
     met = pairs.join(texts.select(F.col("doc_id").alias("other"), F.col("text").alias("other_text")), "other").join(texts.withColumnRenamed("doc_id", "id"), "id")
-    return in_arrow(met.select("id", "other", "text", "other_text"), run, "a long, b long")
+    return in_arrow(met.select("id", "other", "text", "other_text"), run, "a long, b long", 250)
 
 
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, recall: float = 0.93, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -194,7 +214,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5,
     segments, width = segment_plan(n, similarity, recall)
     words = max(WORDS, -(-segments * width // 64))
     p = differing(similarity)
-    most, few = (math.ceil(bits * (p + LOOSE * math.sqrt(p * (1 - p) / bits))) for bits in (64 * words, 64))
+    most, few = (math.ceil(bits * (p + loose * math.sqrt(p * (1 - p) / bits))) for bits, loose in ((64 * words, LOOSE), (64, LOOSE_FIRST)))
     of = stored(fingerprints(rows, shingle, words, segments, width), "fingerprints")
     print_ = [f"fp{k}" for k in range(words)]
     classes = stored(of.groupBy("class").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in [*print_, "segs"]]), "classes")
@@ -233,8 +253,9 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5,
 BROADCAST = 2_000_000
 
 
-def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", broadcast: int = BROADCAST) -> DataFrame:
     """docs without the near duplicates of a smaller doc_id; columns as they are."""
-    gone = stored(near_duplicates(docs, similarity, shingle, id_col=id_col, text_col=text_col).where("doc_id <> group_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    side = F.broadcast(gone) if gone.count() <= BROADCAST else gone
-    return docs.join(side, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    name = unused(docs, "_gone")[0]
+    gone = stored(near_duplicates(docs, similarity, shingle, id_col=id_col, text_col=text_col).where("doc_id <> group_id").select(F.col("doc_id").alias(name)).distinct(), "gone")
+    side = F.broadcast(gone) if gone.count() <= broadcast else gone
+    return docs.join(side, F.col(quoted(id_col)).cast("long") == F.col(name), "left_anti")
