@@ -10,21 +10,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from versica.llm import line_dedup, mixing, packing, simhash, toxicity
-from versica.llm.common import documents, stored
+from versica.llm.common import documents, new_path, same_columns, scratch, stored
 from versica.llm.queries import tokenizer_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).where("_predicted = 0").select(*docs.columns)
+    scored = toxicity.score(docs, model)
+    return scored.where(F.col(scored.columns[-2]) == 0).select(*same_columns(docs))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """n_chars follows the text where lines went."""
     out = line_dedup.dedup_lines(docs)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        changed = F.when(F.col(out.columns[-1]) > 0, F.length("text")).otherwise(F.col("n_chars"))
+        out = out.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
+    return out.select(*same_columns(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +35,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every source once at least, and none more than twice as often as another."""
-    return mixing.mix(docs, repeats=2.0).select(*docs.columns)
+    return mixing.mix(docs, repeats=2.0)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +50,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = stored(docs, name.replace(" ", "_"))
-    return docs
+    for name, stage in STAGES[:-1]:
+        path = new_path(spark, name.replace(" ", "_"))
+        with scratch(spark):  # what a stage writes for itself goes when its result is written
+            docs = stored(stage(spark, docs, sf_dir), name, path)
+    return STAGES[-1][1](spark, docs, sf_dir)
