@@ -1,9 +1,9 @@
 import math
-import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -34,7 +34,7 @@ def test_block_max_search_is_exact(examples, query, k):
 
 def brute(docs, labels, k=15):
     """{doc_id: (score, cosines of the nearest, largest first)} by dense vectors of all words."""
-    tokens = {i: Counter(re.findall(r"[^\W\d_]+", (t or "").lower())) for i, t in docs.items()}
+    tokens = {i: Counter(w for x in (t or "").lower().split() if (w := x.strip(toxicity.MARKS))) for i, t in docs.items()}
     ids = sorted(i for i in labels if i in docs and zlib.crc32(str(i).encode()) % 5)
     y = np.array([labels[i] for i in ids])
     words = sorted({w for i in ids for w in tokens[i]})
@@ -120,8 +120,6 @@ def test_no_labels_and_odd_rows(spark, odd, empty):
     assert toxicity.score(empty, toxicity.fit(empty, some)).count() == 0
 
 
-def test_pieces_of_a_long_text(monkeypatch):
-    text = "Alpha beta, gamma-delta\nEPSILON é9ü " * 50
-    whole = toxicity.words_of(text)
-    monkeypatch.setattr(toxicity, "PIECE", 7)
-    assert toxicity.words_of(text) == whole and whole["alpha"] == 50
+def test_words():
+    rows, words = toxicity.words_of(pa.array(["Alpha, beta\n(ÉPSILON) 9.5!", None, "", "*** a-b"]))
+    assert list(zip(rows.tolist(), words.to_pylist(), strict=True)) == [(0, "alpha"), (0, "beta"), (0, "épsilon"), (0, "9.5"), *[(1, "")] * rows.tolist().count(1), *[(2, "")] * rows.tolist().count(2), (3, ""), (3, "a-b")]

@@ -2,7 +2,7 @@
 
 fit() learns from labelled rows only, at most EXAMPLES of each class (those first by a hash of doc_id), none held out; this
 bound on labelled rows is the only one:
-  - terms are all words (runs of letters, lower case) of the examples; none is left out;
+  - terms are all words of the examples (between white space, lower case, without marks at the ends); none is left out;
   - a term weighs (1 + log tf) x idf x gain. Document frequencies are counted over all documents; gain is the information, in
     bits, that the word's presence gives about the label among the examples, so that words of both classes, which are most of
     a text, don't hide the few that tell them apart;
@@ -10,8 +10,9 @@ bound on labelled rows is the only one:
     largest weight there, and for each of those the examples and their weights;
   - votes are calibrated by isotonic regression on the examples' own votes, each by the examples of the other folds alone
     (FOLDS_OF folds; gains and weights anew without it), as an unseen text would get them.
-score() finds every text's K nearest examples exactly: a block's largest possible cosine is bounded by its maxima; the most
-promising blocks are scored first, then all that can still reach the K-th cosine. Votes are weighted by cosine and by how many
+score() finds every text's K nearest examples exactly: a block's largest possible cosine is bounded by its maxima (of the terms that most
+blocks hold, the weights of each example are added instead); the most promising examples are scored first, then all that can
+still reach the K-th cosine. Votes are weighted by cosine and by how many
 labelled rows of its class an example stands for.
 
 Labels, lang, source and doc_id are no inputs of a score. Defined cases: a text that shares no word with an example (null and
@@ -19,16 +20,14 @@ empty texts too) has no neighbours, and its score is the share of label 1 among
 places): the smaller doc_id is nearer; several labels of a doc_id: the largest counts; null labels are no labels; several texts
 of a labelled doc_id: the largest counts; without labels of both classes every score is the share of label 1, of two more labels
 than there are (0 if none is 1); repeated rows come out repeated; a null doc_id is scored, and not held out; very long texts
-are counted piece by piece, whole; empty tables give no rows; extra columns stay as they are, and new ones get underscores
+are counted whole; empty tables give no rows; extra columns stay as they are, and new ones get underscores
 before their names where docs has such columns.
 """
 
 from __future__ import annotations
 
 import math
-import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,13 +42,12 @@ from versica.llm.common import id_text, in_arrow, quoted, stored, unused
 
 EXAMPLES, BLOCK, K = 2000, 8, 15
 FOLDS, FOLDS_OF = 5, 4
-#: Blocks that are scored before a bound is known; share of blocks above which a term's weights are kept densely.
-FIRST, FREQUENT = 4, 0.25
+#: Examples that are scored before a bound is known; share of blocks above which a term's weights are kept densely.
+FIRST, FREQUENT = 48, 0.15
 #: Share of examples above which a term has a say in the order of examples.
-SHAPING = 0.005
-#: Characters that are split into words at a time.
-PIECE = 1 << 20
-_WORD = re.compile(r"[^\W\d_]+")
+SHAPING = 0.02
+#: What is cut off at both ends of a word.
+MARKS = ".,;:!?\"'()[]{}<>*#$%&+-_=/\\|~^`@«»„“”‚‘’…–—¿¡·"
 
 
 def held_out(doc_id: str):
@@ -57,18 +55,17 @@ def held_out(doc_id: str):
     return F.coalesce(F.crc32(F.col(quoted(doc_id)).cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def words_of(text: str) -> Counter[str]:
-    if len(text) <= PIECE:
-        return Counter(_WORD.findall(text.lower()))
-    counts: Counter[str] = Counter()
-    at = 0
-    while at < len(text):
-        end = at + PIECE
-        while end < len(text) and not text[end].isspace():
-            end += 1
-        counts.update(_WORD.findall(text[at:end].lower()))
-        at = end
-    return counts
+def words_of(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """(row of each word, words) of a column of texts: what lies between white space, lower case, without MARKS at its ends; may be empty."""
+    lists = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(column, "")))
+    return pc.list_parent_indices(lists).to_numpy().astype(np.int64), pc.utf8_trim(pc.list_flatten(lists), characters=MARKS)
+
+
+def counted(rows: np.ndarray, terms: np.ndarray, n_terms: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, term, how often) of each pair, in order; terms under 0 are left out."""
+    kept = terms >= 0
+    pairs, n = np.unique(rows[kept] * n_terms + terms[kept], return_counts=True)
+    return pairs // max(1, n_terms), pairs % max(1, n_terms), n
 
 
 def isotonic(x: list[float], y: list[float], w: list[float]) -> tuple[list[float], list[float]]:
@@ -112,7 +109,7 @@ def _alike(x: np.ndarray, size: int) -> np.ndarray:
             done.append(own)
             continue
         rows = x[own] - x[own].mean(axis=0)
-        along = rows[np.argmax((rows * rows).sum(axis=1))]
+        along = rows[np.argmax(np.einsum("ij,ij->i", rows, rows))]
         for _ in range(6):
             along = (rows @ along) @ rows
             along /= max(1e-30, float(np.sqrt(along @ along)))
@@ -125,17 +122,19 @@ def _alike(x: np.ndarray, size: int) -> np.ndarray:
 class Index:
     """Labelled examples as a block-max inverted index. ids and labels of the examples; (at, terms, weights): example at[i] has terms[i] with weights[i], of length 1.
 
-    Terms found in most blocks have their maxima and weights in dense arrays; all others have lists of blocks and of examples."""
+    Terms found in most blocks have their weights in a dense array; all others have lists of blocks, and of the examples there."""
 
     def __init__(self, ids: np.ndarray, labels: np.ndarray, at: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_terms: int, class_weights: tuple[float, float], shaped: bool = True):
         # similar examples lie together, which keeps the blocks' bounds tight
-        common = np.flatnonzero(np.bincount(terms, minlength=n_terms) > max(1, len(ids) * SHAPING))
-        column = np.full(n_terms, -1, np.int64)
-        column[common] = np.arange(len(common))
-        held = column[terms] >= 0
-        shape = np.zeros((len(ids), len(common)), np.float32)
-        shape[at[held], column[terms[held]]] = weights[held]
-        order = _alike(shape, BLOCK) if shaped else np.lexsort((shape.argmax(axis=1) if len(common) else ids,))
+        order = np.arange(len(ids))
+        if shaped:
+            common = np.flatnonzero(np.bincount(terms, minlength=n_terms) > max(1, len(ids) * SHAPING))
+            column = np.full(n_terms, -1, np.int64)
+            column[common] = np.arange(len(common))
+            held = column[terms] >= 0
+            shape = np.zeros((len(ids), len(common)), np.float32)
+            shape[at[held], column[terms[held]]] = weights[held]
+            order = _alike(shape, BLOCK)
         place = np.empty(len(ids), np.int64)
         place[order] = np.arange(len(ids))
         self.ids, self.labels, self.class_weights = ids[order], labels[order], np.array(class_weights)[labels[order]]
@@ -146,13 +145,14 @@ class Index:
         block = example // BLOCK
         new = np.flatnonzero(np.r_[True, (np.diff(terms) != 0) | (np.diff(block) != 0)]) if len(terms) else np.zeros(0, np.int64)
         frequent = np.flatnonzero(np.bincount(terms[new], minlength=n_terms) > self.n_blocks * FREQUENT)
-        self.slot = np.full(n_terms, -1, np.int32)  # of frequent terms: their column in the dense arrays
+        self.slot = np.full(n_terms, -1, np.int32)  # of frequent terms: their row in the dense array
         self.slot[frequent] = np.arange(len(frequent))
+        del order, block, new
         dense = self.slot[terms] >= 0
-        self.dense = np.zeros((self.n_blocks, len(frequent), BLOCK), np.float32)
-        self.dense[example[dense] // BLOCK, self.slot[terms[dense]], example[dense] % BLOCK] = weight[dense]
-        self.dense_most = np.ascontiguousarray(self.dense.max(axis=2).T)
-        self.example, self.weight, terms, block = example[~dense], weight[~dense], terms[~dense], block[~dense]
+        self.dense = np.zeros((len(frequent), self.n_blocks * BLOCK), np.float32)
+        self.dense[self.slot[terms[dense]], example[dense]] = weight[dense]
+        self.example, self.weight, terms = example[~dense], weight[~dense], terms[~dense]
+        block = self.example // BLOCK
         new = np.flatnonzero(np.r_[True, (np.diff(terms) != 0) | (np.diff(block) != 0)]) if len(terms) else np.zeros(0, np.int64)
         self.entry_at = np.r_[new, len(terms)].astype(np.int32)  # of each (term, block): where its examples begin
         self.entry_block = block[new]
@@ -168,35 +168,33 @@ class Index:
         sizes = self.term_at[terms + 1] - starts
         entries = _ranges(starts, sizes)
         q, of = np.repeat(weights, sizes), self.entry_block[entries]
-        bounds = np.bincount(of, q * self.entry_most[entries], self.n_blocks) + often_weights.astype(np.float32) @ self.dense_most[slot]
-        open_ = bounds > 0
+        blocks = np.bincount(of, q * self.entry_most[entries], self.n_blocks)
+        bounds = ((often_weights.astype(np.float32) @ self.dense[slot]).reshape(-1, BLOCK) + blocks[:, None]).ravel()
         found, places = np.zeros(0), np.zeros(0, np.int64)
-        first = np.argpartition(-bounds, FIRST)[:FIRST] if self.n_blocks > FIRST else np.arange(self.n_blocks)
+        now = np.argpartition(-bounds, FIRST)[:FIRST] if len(bounds) > FIRST else np.arange(len(bounds))
         for last in (False, True):
             if last:
-                open_[first] = False
-                if len(found) >= k:
-                    open_ &= bounds >= np.partition(found, len(found) - k)[len(found) - k] - 1e-5  # bounds are of single precision
-                now = np.flatnonzero(open_)
-            else:
-                now = first[open_[first]]
+                least = np.partition(found, len(found) - k)[len(found) - k] - 1e-5 if len(found) >= k else 0  # bounds are of single precision
+                bounds[now] = 0
+                now = np.flatnonzero((bounds >= least) & (bounds > 0))
             if not len(now):
                 continue
-            mask = np.full(self.n_blocks, -1, np.int32)
-            mask[now] = np.arange(len(now))
-            own = np.flatnonzero(mask[of] >= 0)
-            at = entries[own]
-            begin = self.entry_at[at]
-            counts = self.entry_at[at + 1] - begin
+            chosen = np.full(len(bounds), -1, np.int32)
+            chosen[now] = np.arange(len(now))
+            here = np.zeros(self.n_blocks, bool)
+            here[now // BLOCK] = True
+            own = np.flatnonzero(here[of])
+            begin = self.entry_at[entries[own]]
+            counts = self.entry_at[entries[own] + 1] - begin
             rows = _ranges(begin, counts)
-            example = self.example[rows]
-            members = (now[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            cosines = np.bincount(mask[example // BLOCK] * BLOCK + example % BLOCK, np.repeat(q[own], counts) * self.weight[rows], len(members))
+            at = chosen[self.example[rows]]
+            kept = at >= 0
+            cosines = np.bincount(at[kept], (np.repeat(q[own], counts) * self.weight[rows])[kept], len(now))
             if len(slot):
-                cosines = cosines + (often_weights @ self.dense[now[:, None], slot].astype(np.float64)).ravel()
+                cosines = cosines + often_weights @ self.dense[slot[:, None], now]
             cosines = np.round(cosines, 9)
-            at = np.flatnonzero(cosines)
-            found, places = np.r_[found, cosines[at]], np.r_[places, members[at]]
+            some = np.flatnonzero(cosines)
+            found, places = np.r_[found, cosines[some]], np.r_[places, now[some]]
         best = np.lexsort((self.ids[places], -found))[:k]
         return found[best], places[best]
 
@@ -208,33 +206,41 @@ class Index:
 class Model:
     """A dictionary of words, their weights, the index and the calibration."""
 
-    def __init__(self, words: list[str], share: float):
-        self.words, self.share = {w: i for i, w in enumerate(words)}, share
+    def __init__(self, words: pa.Array, share: float):
+        self.words, self.share = words, share
         self.weights, self.index, self.steps = np.zeros(len(words)), None, ([], [])
 
-    def known(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """(terms, how often) of a text."""
-        get = self.words.get
-        own = {t: n for w, n in words_of(text).items() if (t := get(w)) is not None}
-        return np.fromiter(own, np.int64, len(own)), np.fromiter(own.values(), np.int64, len(own))
-
-    def score(self, text: str) -> tuple[float, list[int]]:
-        """(score, doc_ids of the nearest examples)."""
-        if self.index is None:
-            return self.share, []
-        terms, counts = self.known(text)
-        cosines, places = self.index.nearest(terms, _unit(self.weights, terms, counts))
-        if not len(places):
-            return self.share, []
-        return float(np.interp(self.index.vote(cosines, places), *self.steps)), self.index.ids[places].tolist()
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def score(self, column: pa.Array) -> tuple[list[float], list[list[int]]]:
+        """(scores, doc_ids of the nearest examples) of a column of texts."""
+        scores, near = [self.share] * len(column), [[] for _ in range(len(column))]
+        if self.index is not None:
+            rows, terms, counts = counted(*_known(self.words, column), len(self.words))
+            weights = (1 + np.log(counts)) * self.weights[terms]
+            ends = np.searchsorted(rows, np.arange(len(column) + 1))
+            for i in np.unique(rows).tolist():
+                own = slice(ends[i], ends[i + 1])
+                cosines, places = self.index.nearest(terms[own], _unit(weights[own]))
+                if len(places):
+                    scores[i] = float(np.interp(self.index.vote(cosines, places), *self.steps))
+                    near[i] = self.index.ids[places].tolist()
+        return scores, near
+
+
+def _known(words: pa.Array, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row, term) of each word of a column of texts; -1 for words that the dictionary lacks."""
+    rows, own = words_of(column)
+    return rows, pc.fill_null(pc.index_in(own, value_set=words), -1).to_numpy().astype(np.int64)
+
+
+def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sampled texts -> doc_id, toxic, words and how often each occurs."""
-    kind = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("word", pa.list_(pa.string())), ("n", pa.list_(pa.int64()))])
     for b in batches:
-        out = [words_of(t) for t in b.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic").cast(pa.int32()), pa.array([list(c) for c in out], kind.field(2).type), pa.array([list(c.values()) for c in out], kind.field(3).type)], schema=kind)
+        rows, own = words_of(b.column("text"))
+        own = own.dictionary_encode()
+        at, terms, n = counted(rows, own.indices.to_numpy().astype(np.int64), len(own.dictionary))
+        ends = pa.array(np.searchsorted(at, np.arange(b.num_rows + 1)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(ends, x) for x in (own.dictionary.take(pa.array(terms)), pa.array(n))]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic").cast(pa.int32()), *lists], ["doc_id", "toxic", "word", "n"])
 
 
 def _frequencies(sent):
@@ -244,8 +250,8 @@ def _frequencies(sent):
         words, n = sent.value, 0
         counts = np.zeros(len(words), np.int64)
         for b in batches:
-            for text in b.column("text").to_pylist():
-                counts[[t for w in words_of(text) if (t := words.get(w)) is not None]] += 1
+            _, terms, _ = counted(*_known(words, b.column("text")), len(words))
+            counts += np.bincount(terms, minlength=len(words))
             n += b.num_rows
         if n:
             at = np.flatnonzero(counts)
@@ -261,20 +267,25 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, id_col: st
     totals = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     share = totals.get(1, 0) / (sum(totals.values()) + 2)
     if len(totals) < 2:
-        return Model([], share)
+        return Model(pa.array([], pa.string()), share)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = known.where("toxic = 0").orderBy(*order).limit(examples).unionByName(known.where("toxic = 1").orderBy(*order).limit(examples))
     sampled = rows.join(F.broadcast(stored(chosen, "chosen")), "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("text").alias("text"))  # 2 * examples rows at most
-    sample = stored(in_arrow(sampled, _counted, "doc_id long, toxic int, word array<string>, n array<long>"), "sample").toArrow().combine_chunks()
+    sample = stored(in_arrow(sampled, _sampled, "doc_id long, toxic int, word array<string>, n array<long>"), "sample").toArrow().combine_chunks()
     ids, marks = sample["doc_id"].to_numpy(), sample["toxic"].to_numpy()
     if len(set(marks.tolist())) < 2:
-        return Model([], share)
+        return Model(pa.array([], pa.string()), share)
     lists = sample["word"].combine_chunks()
     flat = pc.list_flatten(lists).dictionary_encode()
-    at, terms = pc.list_parent_indices(lists).to_numpy().astype(np.int64), flat.indices.to_numpy().astype(np.int64)
-    counts = pc.list_flatten(sample["n"].combine_chunks()).to_numpy()
-    model = Model(flat.dictionary.to_pylist(), share)
-    if not model.words:
+    at, terms = pc.list_parent_indices(lists).to_numpy().astype(np.int32), flat.indices.to_numpy()
+    counts, words = pc.list_flatten(sample["n"].combine_chunks()).to_numpy().astype(np.int32), flat.dictionary
+    named = words.to_numpy(zero_copy_only=False) != ""
+    if not named.all():  # the empty word is no term
+        kept = named[terms]
+        at, counts, terms, words = at[kept], counts[kept], (np.cumsum(named) - 1).astype(np.int32)[terms[kept]], words.filter(pa.array(named))
+    model = Model(words, share)
+    del sample, lists, flat
+    if not len(words):
         return model
     sent = spark.sparkContext.broadcast(model.words)
     found = in_arrow(rows.select("text"), _frequencies(sent), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
@@ -293,7 +304,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, id_col: st
         weights, index = _indexed(ids, marks, at, terms, counts, idf, totals, inside)
         for i in np.flatnonzero(~inside).tolist():
             own = slice(*np.searchsorted(at, [i, i + 1]))
-            cosines, near = index.nearest(terms[own], _unit(weights, terms[own], counts[own]))
+            cosines, near = index.nearest(terms[own], _unit((1 + np.log(counts[own])) * weights[terms[own]]))
             if len(near):
                 votes.append(index.vote(cosines, near))
                 truth.append(float(marks[i]))
@@ -304,8 +315,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, id_col: st
     return model
 
 
-def _unit(weights: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    w = (1 + np.log(counts)) * weights[terms]
+def _unit(w: np.ndarray) -> np.ndarray:
     return w / (math.sqrt(w @ w) or 1.0)
 
 
@@ -333,8 +343,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
         for b in batches:
-            got = [own.score(t or "") for t in b.column(at).to_pylist()]
-            more = [pa.array([s for s, _ in got], pa.float64()), pa.array([int(s >= 0.5) for s, _ in got], pa.int32()), pa.array([near for _, near in got], schema.field(len(schema) - 1).type)]
+            scores, near = own.score(b.column(at))
+            more = [pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(near, schema.field(len(schema) - 1).type)]
             yield pa.RecordBatch.from_arrays([*b.columns, *more], schema=schema)
 
     return in_arrow(docs, run, out)
