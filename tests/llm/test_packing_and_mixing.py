@@ -1,5 +1,5 @@
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -48,10 +48,12 @@ def check(rows, docs, sequence=4096):
     pieces = defaultdict(list)
     for r in rows:
         pieces[r.doc_id].append((r.piece, r.start, r.length, r.ids_crc32))
+    wanted = defaultdict(list)
     for i, text in docs:
         ids = tok._whole(text or "") + np.array([1], "<u4").tobytes()
         want = [(k, at // 4, len(ids[at : at + 4 * sequence]) // 4, zlib.crc32(ids[at : at + 4 * sequence])) for k, at in enumerate(range(0, len(ids), 4 * sequence))]
-        assert set(pieces[i]) >= set(want)
+        wanted[i] += want
+    assert {i: Counter(x) for i, x in pieces.items()} == {i: Counter(x) for i, x in wanted.items()}
     return len(by)
 
 
@@ -91,6 +93,37 @@ def test_mixing_meets_entropy(spark):
         mixing.plan(df, repeats=2.0, entropy=1.0)
 
 
+def test_mixing_meets_entropies_on_both_sides_of_the_natural_one(spark):
+    import math
+
+    df = spark.range(700).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 400, "a").when(F.col("id") < 600, "b").otherwise("c").alias("source"), F.lit("one two three").alias("text"))
+    for target in (0.6, 0.9, 1.05):
+        got = {r.source: r.t for r in mixing.plan(df, repeats=None, entropy=target).groupBy("source").agg(F.sum("n_tokens").alias("t")).collect()}
+        total = sum(got.values())
+        assert abs(-sum(t / total * math.log(t / total) for t in got.values()) - target) < 0.02
+    even = df.withColumn("source", (F.col("doc_id") % 3).cast("string")).where("doc_id < 600")
+    for bad in (0.3, 1.2):  # three equal sources have log 3 whatever the exponent
+        with pytest.raises(ValueError, match="no exponent"):
+            mixing.plan(even, repeats=None, entropy=bad)
+    assert mixing.plan(even, repeats=None, entropy=math.log(3)).count() == 600
+
+
+def test_ranges_give_the_order_of_one_window(spark):
+    """Ranks and budgets by ranges are those of a window over the whole source and epoch."""
+    from pyspark.sql.window import Window as W
+
+    df = spark.range(60_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 45_000, "big").otherwise("small").alias("source"), F.lit("one two").alias("text"))
+    placed = mixing._placed(df, repeats=1.5)
+    ranked = placed.select("source", "epoch", "turn", "block_rank").distinct().withColumn("want", F.row_number().over(W.partitionBy("source", "epoch").orderBy("turn")))
+    assert ranked.count() > 60 and ranked.where("want <> block_rank").count() == 0
+
+
+def test_mixed_rows_lie_in_the_order_of_the_permutation(spark):
+    df = spark.range(5000).select(F.col("id").alias("doc_id"), (F.col("id") % 3).cast("string").alias("source"), F.lit("one two").alias("text"))
+    plan = mixing.mix(df, repeats=1.0)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [_epoch" in plan and [r.doc_id for r in mixing.mix(df.coalesce(1), repeats=1.0).limit(50).collect()] != list(range(50))
+
+
 def test_mixing_of_odd_rows(odd, empty):
     mixed = mixing.mix(odd)
     assert mixed.columns == odd.columns and {r.doc_id for r in mixed.collect()} == {r.doc_id for r in odd.collect()}
