@@ -127,3 +127,23 @@ def test_near_duplicates_on_both_sides_of_the_similarity(spark):
     linked = [got[2 * k] == got[2 * k + 1] for k in range(61)]
     alike = [jaccard(texts[2 * k], texts[2 * k + 1]) >= 0.8 for k in range(61)]
     assert not any(x and not y for x, y in zip(linked, alike, strict=True)) and sum(linked) >= 0.9 * sum(alike) > 20 and not alike[60]
+
+
+def test_recall_on_documents(spark):
+    """All pairs of documents with a similarity of 0.8 or more, by posting lists of shingles, against the groups found."""
+    from collections import Counter, defaultdict
+
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.1')}/documents.parquet").select("doc_id", "text")
+    sets = {r.doc_id: frozenset(simhash.shingle_hashes((r.text or "").encode(), 5).tolist()) for r in docs.collect()}
+    first, posts = {}, defaultdict(list)
+    for i in sorted(sets):
+        if first.setdefault(sets[i], i) == i:  # copies are one class
+            for h in sets[i]:
+                posts[h].append(i)
+    shared = Counter((i, j) for own in posts.values() for k, i in enumerate(own) for j in own[:k])
+    pairs = [(i, j) for (i, j), n in shared.items() if n >= 0.8 * (len(sets[i]) + len(sets[j]) - n)]
+    got = {r.doc_id: r.group_id for r in simhash.near_duplicates(docs).collect()}
+    assert len(pairs) > 30 and sum(got[i] == got[j] for i, j in pairs) >= 0.95 * len(pairs), (len(pairs), sum(got[i] == got[j] for i, j in pairs))
+    assert all(got[i] == got[first[sets[i]]] for i in sets)
+    linked = {x for p in pairs for x in p}
+    assert all(got[i] == first[sets[i]] for i in sets if first[sets[i]] not in linked)  # nothing else is

@@ -7,9 +7,10 @@ Table entries that more than CAP fingerprints share are left out of that and don
 are within two bits if and only if their full balls of radius one meet, and no ball point has more than 65 neighbours.
 
 near_duplicates() is for similarity thresholds, where fingerprints differ in many bits. Its fingerprints are wider, cut into
-segments whose number and width follow from the number of documents and the recall wanted. Buckets of segment balls are first
-chained (each member with the first and the one before); then all pairs of a bucket's members that are not in one group by that
-are compared, block by block. Fingerprints make candidates only: these are verified by the Jaccard similarity of their shingles.
+segments whose number and width follow from the number of documents and the recall wanted. In buckets of segment balls all pairs
+of up to CALM members are compared, and larger buckets chained (each member with the first and the one before); then all pairs of
+a crowded bucket's members that are not in one group by that are compared, block by block. Fingerprints make candidates only:
+these are verified by the Jaccard similarity of their shingles.
 
 Only distinct fingerprints take part, or there distinct sets of shingles: copies are one class. Defined cases: a null or empty text has no words, and
 fingerprint zero, linked like any other; a text of fewer words than a shingle is one shingle; a null doc_id takes part in
@@ -20,10 +21,10 @@ looked at, whatever their names; a tie of votes (a bit set in exactly half of th
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
@@ -40,8 +41,10 @@ SEED, CAP = 42, 64
 WORDS = 16
 #: Standard deviations, of bits that differ, that candidates may be off; members of a crowded bucket that one task compares at a time.
 LOOSE, BLOCK = 6, 1000
-#: The same for the first 64 bits, which are looked at before whole fingerprints meet.
-LOOSE_FIRST = 4
+#: The same for the first 64 bits, or FEW_WORDS times as many, which are looked at before whole fingerprints meet.
+LOOSE_FIRST, FEW_WORDS = 4, 4
+#: Members of a bucket that are all compared at once; segments that are looked at before the others.
+CALM, EARLY = 4, 3
 #: Bytes that are split into words at a time.
 PIECE, SPACES = 1 << 20, frozenset(b" \t\n\v\f\r")
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)[None, :]) & 1).astype(np.float64)
@@ -179,7 +182,7 @@ def differing(similarity: float) -> float:
 def segment_plan(n: int, similarity: float, recall: float) -> tuple[int, int]:
     """(segments, width) for n documents. A bucket of a segment's ball holds few others by chance (width grows with log2 n); two
     segments meet if equal, if one bit differs, or, in half of the cases, if two do; the number of segments gives the recall."""
-    p, width = differing(similarity), max(16, math.ceil(math.log2(max(2, n))) + 7)
+    p, width = differing(similarity), max(16, math.ceil(math.log2(max(2, n))) + 4)
     meet = sum(share * math.comb(width, k) * p**k * (1 - p) ** (width - k) for k, share in ((0, 1), (1, 1), (2, 0.5)))
     return math.ceil(math.log(1 - recall) / math.log(1 - meet)), width
 
@@ -188,7 +191,7 @@ def _alike(pairs: DataFrame, rows: DataFrame, similarity: float, shingle: int) -
     """Edges (a, b): the pairs(id, other) of rows(doc_id, text) whose sets of shingles have this Jaccard similarity or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = lru_cache(16)(lambda text: np.unique(shingle_hashes(text, shingle)))
+        held = functools.lru_cache(16)(lambda text: np.unique(shingle_hashes(text, shingle)))
         for b in batches:
             keep = []
             for x, y in zip(binary(b.column("text")), binary(b.column("other_text")), strict=True):
@@ -204,48 +207,86 @@ def _alike(pairs: DataFrame, rows: DataFrame, similarity: float, shingle: int) -
     return in_arrow(met.select("id", "other", "text", "other_text"), run, "a long, b long", 250)
 
 
+def _met(points: DataFrame, few: int) -> DataFrame:
+    """What meets in buckets: points(key, id, fp0, label) of buckets with several labels -> key, id, near, crowded.
+
+    near: members with another label and a close fp0, as (bits that differ, id): in calm buckets (CALM members at most) all before
+    this one by id, in crowded ones the first member and the one before."""
+    bucket, whole = W.partitionBy("key").orderBy("id"), W.partitionBy("key")
+    one = F.struct("id", "fp0", "label")
+    before = {f"l{k}": F.lag(one, k).over(bucket) for k in range(1, CALM)}
+    seen = points.select("key", "id", "fp0", "label", F.first(one).over(bucket).alias("head"), *[c.alias(n) for n, c in before.items()], F.count("*").over(whole).alias("size"), F.min("label").over(whole).alias("lo"), F.max("label").over(whole).alias("hi"))
+    bits = lambda x: F.expr(f"bit_count(fp0 ^ {x}.fp0)")
+    near = lambda names: F.array_compact(F.array(*[F.when((F.col(f"{x}.label") != F.col("label")) & (bits(x) <= few), F.struct(bits(x).alias("bits"), F.col(f"{x}.id").alias("other"))) for x in names]))
+    seen = seen.where("lo <> hi").select("key", "id", (F.col("size") > CALM).alias("crowded"), near(before).alias("calm"), near(["head", "l1"]).alias("some"))
+    return seen.select("key", "id", "crowded", F.when(F.col("crowded"), F.col("some")).otherwise(F.col("calm")).alias("near")).where("crowded OR size(near) > 0")
+
+
+def _chained(met: DataFrame) -> DataFrame:
+    """Pairs (id, other) to compare first: all of calm buckets; of crowded ones, for each id, the smallest and the closest."""
+    calm = met.where("NOT crowded").select("id", F.expr("explode(near.other)").alias("other"))
+    least = met.where("crowded").groupBy("id").agg(F.min(F.expr("array_min(near)")).alias("closest"), F.min(F.expr("array_min(near.other)")).alias("first"))
+    return calm.unionByName(least.select("id", F.expr("explode(array_compact(array_distinct(array(closest.other, first))))").alias("other"))).distinct()
+
+
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, recall: float = 0.93, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, group_id for every document with an id; group_id is the smallest doc_id of its group of near duplicates.
 
     Two texts are linked if their fingerprints meet in a segment and their sets of shingles have this Jaccard similarity; recall
-    is that of the segments, at exactly this similarity. Fingerprints only rule out pairs LOOSE standard deviations beyond it."""
+    is that of the segments, at exactly this similarity. Fingerprints only rule out pairs LOOSE standard deviations beyond it.
+    The first segments alone link most of large groups; the others then leave out what is in one group already."""
     rows = id_text(docs, id_col, text_col).where("doc_id IS NOT NULL")
     n = rows.count()
     segments, width = segment_plan(n, similarity, recall)
     words = max(WORDS, -(-segments * width // 64))
     p = differing(similarity)
-    most, few = (math.ceil(bits * (p + loose * math.sqrt(p * (1 - p) / bits))) for bits, loose in ((64 * words, LOOSE), (64, LOOSE_FIRST)))
+    at_most = lambda bits, loose: math.ceil(bits * (p + loose * math.sqrt(p * (1 - p) / bits)))
     of = stored(fingerprints(rows, shingle, words, segments, width), "fingerprints")
     print_ = [f"fp{k}" for k in range(words)]
     classes = stored(of.groupBy("class").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in [*print_, "segs"]]), "classes")
     left, right = classes.select("id", *print_), classes.select(F.col("id").alias("other"), *[F.col(c).alias(f"o_{c}") for c in print_])
-    close = F.expr(" + ".join(f"bit_count({c} ^ o_{c})" for c in print_)) <= most
-
-    at = classes.select("id", "fp0", F.posexplode("segs").alias("part", "value"))
-    points = at.select("id", "fp0", F.expr(f"part * {1 << width}L").alias("base"), F.explode(F.expr(_ball("value", width))).alias("point"))
-    points = points.select((F.col("base") + F.col("point")).alias("key"), "id", "fp0")
-    bucket = W.partitionBy("key").orderBy("id")
-    seen = points.select("key", "id", "fp0", F.first(F.struct("id", "fp0")).over(bucket).alias("head"), F.lag(F.struct("id", "fp0")).over(bucket).alias("last"), F.count("*").over(W.partitionBy("key")).alias("size"))
-    near = F.expr(f"CASE WHEN last IS NULL THEN array() ELSE transform(filter(array_distinct(array(head, last)), x -> bit_count(fp0 ^ x.fp0) <= {few}), x -> x.id) END")
-    met = stored(seen.where("size > 1").select("key", "id", near.alias("near"), (F.col("size") > 3).alias("crowded")).where("crowded OR size(near) > 0"), "met")
-    chained = met.select("id", F.explode("near").alias("other")).where("id <> other").distinct()
-    chained = stored(chained.join(left, "id").join(right, "other").where(close).select("id", "other"), "chained")
-    labels = components(_alike(chained, rows, similarity, shingle))
-
-    # What the chain leaves: pairs of buckets of four or more that aren't in one group yet
-    crowded = met.where("crowded").join(labels, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("label", "id").alias("label"))
+    differ = lambda names: F.expr(" + ".join(f"bit_count({c} ^ o_{c})" for c in names))
+    close = differ(print_) <= at_most(64 * words, LOOSE)
+
+    def points(labels: DataFrame | None, first: int, last: int) -> DataFrame:
+        held = classes.select("id", "fp0", "segs", F.col("id").alias("label")) if labels is None else classes.select("id", "fp0", "segs").join(labels, F.col("id") == F.col("node"), "left").select("id", "fp0", "segs", F.coalesce("label", "id").alias("label"))
+        at = held.select("id", "fp0", "label", F.posexplode(F.slice("segs", first + 1, last - first)).alias("part", "value"))
+        at = at.select("id", "fp0", "label", F.expr(f"(part + {first}) * {1 << width}L").alias("base"), F.explode(F.expr(_ball("value", width))).alias("point"))
+        return at.select((F.col("base") + F.col("point")).alias("key"), "id", "fp0", "label")
+
+    def linked(pairs: DataFrame, labels: DataFrame | None, name: str) -> DataFrame:
+        """Labels of the components when the pairs that are alike are links too."""
+        met = stored(pairs.join(left, "id").join(right, "other").where(close).select("id", "other"), name)
+        edges = _alike(met, rows, similarity, shingle)
+        if labels is None:
+            return components(edges)
+        over = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
+        edges = edges.join(over("a"), "a", "left").join(over("b"), "b", "left").select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b"))
+        more = components(edges)
+        nodes = labels.select("node", "label").unionByName(more.join(labels.select("node"), "node", "left_anti").select("node", F.col("node").alias("label")))
+        joined = nodes.join(more.select(F.col("node").alias("was"), F.col("label").alias("now")), F.col("label") == F.col("was"), "left")
+        return stored(joined.select("node", F.coalesce("now", "label").alias("label")), f"{name}_labels")
+
+    labels, crowds = None, []
+    for first, last in ((0, EARLY), (EARLY, segments)):
+        if first < last and first < segments:
+            met = stored(_met(points(labels, first, min(last, segments)), at_most(64, LOOSE_FIRST)), f"met{first}")
+            labels = linked(_chained(met), labels, f"chained{first}")
+            crowds.append(met.where("crowded").select("key", "id"))
+
+    # What these leave: pairs of crowded buckets that are in different groups still, by BLOCK members at a time
+    crowded = functools.reduce(DataFrame.unionByName, crowds).join(labels, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("label", "id").alias("label"))
     mixed = crowded.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"))
-    members = stored(crowded.join(mixed, "key").withColumn("block", F.expr("pmod(xxhash64(id), blocks)")), "members")
-    mine = members.join(left, "id").select("key", "id", "label", *print_, F.col("block").alias("own"), F.expr("explode(sequence(block, blocks - 1))").alias("block"))
-    theirs = members.select("key", "block", F.col("id").alias("other"), F.col("label").alias("other_label")).join(right, "other")
-    rest = mine.join(theirs, (mine["key"] == theirs["key"]) & (mine["block"] == theirs["block"]) & (F.col("label") != F.col("other_label")) & ((F.col("own") < mine["block"]) | (F.col("id") < F.col("other"))) & close)
-    rest = rest.select(F.greatest("id", "other").alias("id"), F.least("id", "other").alias("other")).distinct().join(chained, ["id", "other"], "left_anti")
-    more = _alike(stored(rest, "rest"), rows, similarity, shingle)
-    over = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
-    joined = components(more.join(over("a"), "a", "left").join(over("b"), "b", "left").select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b")))
-
-    first = classes.select("class", "id").join(labels, F.col("id") == F.col("node"), "left").select("class", F.coalesce("label", "id").alias("one"))
-    ids = first.join(joined, F.col("one") == F.col("node"), "left").select("class", F.coalesce("label", "one").alias("group_id"))
+    some = print_[:FEW_WORDS]
+    members = crowded.join(mixed, "key").withColumn("block", F.expr("pmod(xxhash64(id), blocks)"))
+    members = stored(members.join(left.select("id", *some), "id"), "members")
+    mine = members.select("key", "id", "label", *some, F.col("block").alias("own"), F.expr("explode(sequence(block, blocks - 1))").alias("block"))
+    theirs = members.select("key", "block", F.col("id").alias("other"), F.col("label").alias("other_label"), *[F.col(c).alias(f"o_{c}") for c in some])
+    apart = (F.col("label") != F.col("other_label")) & ((F.col("own") < mine["block"]) | (F.col("id") < F.col("other"))) & (differ(some) <= at_most(64 * len(some), LOOSE_FIRST))
+    rest = mine.join(theirs, (mine["key"] == theirs["key"]) & (mine["block"] == theirs["block"]) & apart)
+    labels = linked(rest.select(F.greatest("id", "other").alias("id"), F.least("id", "other").alias("other")).distinct(), labels, "rest")
+
+    ids = classes.select("class", "id").join(labels, F.col("id") == F.col("node"), "left").select("class", F.coalesce("label", "id").alias("group_id"))
     return of.select("doc_id", "class").join(ids, "class").select("doc_id", "group_id")
 
 
