@@ -81,6 +81,15 @@ def fold_text(text: str) -> str:
     return text
 
 
+def fold_han(text: Column) -> Column:
+    """fold() where a text has Han characters at all."""
+    return F.when(text.rlike(f"[{HAN}]"), fold(text)).otherwise(text)
+
+
+def has_han(text: str) -> bool:
+    return bool(_HAN_CHAR.search(text))
+
+
 def fold_checked(text: Column) -> Column:
     """struct(folded, kept_length)."""
     folded = fold(text)

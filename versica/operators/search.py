@@ -7,6 +7,7 @@ between them does not matter; exact=True asks for the string itself as well.
 from __future__ import annotations
 
 import functools
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,34 +29,52 @@ def needle(text: str) -> str:
     return f" {' '.join(found)} "
 
 
-def _tokens_there(text: Column, wanted: str) -> Column:
-    """Every token as a plain substring: cheap, and true of all that match."""
-    plain = F.lower(script.fold(text))
-    return functools.reduce(Column.__and__, [plain.contains(t) for t in dict.fromkeys(sorted(wanted.split(), key=len, reverse=True))])
+def _subject(text: Column, wanted: str) -> Column:
+    """What a needle is looked for in. Folding changes Han characters only, so a needle without any needs none."""
+    return F.lower(script.fold(text) if script.has_han(wanted) else text)
+
+
+def pattern(wanted: str) -> str:
+    """A needle as a regular expression over lower-case text: its tokens one after another on a line, what is between them no
+    letter or digit; a run of letters and digits is a whole one, a Han character stands for itself."""
+    inside = f"[\\p{{L}}\\p{{N}}&&[^{script.HAN}]]"
+    tokens, out = wanted.split(), ""
+    for k, t in enumerate(tokens):
+        run = not script.has_han(t)
+        if k:
+            out += "[^\\p{L}\\p{N}\n]" + ("+" if run and not script.has_han(tokens[k - 1]) else "*")
+        elif run:
+            out += f"(?<!{inside})"
+        out += re.escape(t)
+    return out + ("" if script.has_han(tokens[-1]) else f"(?!{inside})")
 
 
 def phrase(text: Column, query: str) -> Column:
-    """The cheap test first: it spares most lines the tokenizer."""
+    """The cheap test first: every token as a plain substring."""
     wanted = needle(query)
-    return _tokens_there(text, wanted) & script.tokens(script.fold(text)).contains(wanted)
+    subject = _subject(text, wanted)
+    plain = [subject.contains(t) for t in dict.fromkeys(sorted(wanted.split(), key=len, reverse=True))]
+    return functools.reduce(Column.__and__, plain) & subject.rlike(pattern(wanted))
 
 
 def found_in(works: DataFrame, query: str, exact: bool = False, body: str = "body", **equal: str | None) -> DataFrame:
     """Matching works with lines (array<struct<idx, text>>, those that match) and body_key, where a work's text is one column:
-    rows are tested and keyed where they lie, and nothing is shuffled."""
-    rows = filtered(works, **equal).where(_tokens_there(F.col(body), needle(query)))
-    each = F.transform(F.split(body, "\n"), lambda x, i: F.struct(i.alias("idx"), x.alias("text")))
-    rows = rows.withColumn("lines", F.filter(each, lambda x: F.trim(x["text"]) != ""))
+    rows are tested and keyed where they lie, and nothing is shuffled. A phrase lies on one line, so whole texts are tested
+    first, and only those that have it are split."""
+    rows = filtered(works, **equal).where(phrase(F.col(body), query))
     hit = lambda x: phrase(x["text"], query)
     if exact:
         own = F.lower(F.lit(script.fold_text(query)))
-        hit = lambda x: F.lower(script.fold(x["text"])).contains(own) & phrase(x["text"], query)
-    rows = rows.withColumn("_all", F.col("lines")).withColumn("lines", F.filter("lines", hit)).where(F.size("lines") > 0)
-    return rows.withColumn("body_key", row_key(F.col("_all"))).drop("_all")
+        rows = rows.where(_subject(F.col(body), script.fold_text(query)).contains(own))
+        hit = lambda x: _subject(x["text"], script.fold_text(query)).contains(own) & phrase(x["text"], query)
+    rows = rows.withColumn("lines", F.filter(F.transform(F.split(body, "\n"), lambda x, i: F.struct(i.alias("idx"), x.alias("text"))), hit))
+    rows = rows.where(F.size("lines") > 0) if exact else rows
+    return rows.withColumn("body_key", row_key(F.col(body)))
 
 
-def row_key(lines: Column) -> Column:
-    return F.sha2(F.array_join(F.transform(lines, lambda x: script.fold(x["text"])), "\x1f"), 256)
+def row_key(body: Column) -> Column:
+    """A digest of a text's lines, folded, without blank ones."""
+    return F.sha2(F.array_join(F.filter(F.split(script.fold_han(body), "\n"), lambda x: F.trim(x) != ""), "\x1f"), 256)
 
 
 def grouped_rows(found: DataFrame) -> DataFrame:
@@ -67,7 +86,8 @@ def grouped_rows(found: DataFrame) -> DataFrame:
 def matches(lines: DataFrame, query: str, exact: bool = False, column: str = "text") -> DataFrame:
     """Lines that hold the phrase. The exact string goes first: it is cheap, and rules most lines out."""
     if exact:
-        lines = lines.where(F.lower(script.fold(F.col(column))).contains(F.lower(F.lit(script.fold_text(query)))))
+        own = script.fold_text(query)
+        lines = lines.where(_subject(F.col(column), own).contains(F.lower(F.lit(own))))
     return lines.where(phrase(F.col(column), query))
 
 

@@ -92,8 +92,7 @@ def search_clause_break_diff(spark, sf):
 
 @query(f"WITH {LINES}, k AS (SELECT work_id, string_agg(text, chr(31) ORDER BY idx) AS k FROM lines GROUP BY work_id) SELECT a.work_id, string_agg(b.work_id, ',' ORDER BY b.work_id) AS editions FROM k a JOIN k b ON a.k = b.k AND a.work_id <> b.work_id GROUP BY a.work_id")
 def work_lines_editions(spark, sf):
-    each = F.filter(F.transform(F.split("body", "\n"), lambda x, i: F.struct(i.alias("idx"), x.alias("text"))), lambda x: F.trim(x["text"]) != "")
-    keys = works(spark, sf).select("work_id", search.row_key(each).alias("body_key"), F.size(each).alias("n")).where("n > 0")
+    keys = works(spark, sf).where("body RLIKE '[^ \\n]'").select("work_id", search.row_key(F.col("body")).alias("body_key"))
     return search.edition_groups(keys).select("work_id", F.array_join("editions", ",").alias("editions"))
 
 
