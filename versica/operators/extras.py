@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 # Short keys of the exchange form.
 SHORT = {"i": "uid", "tr": "translation", "nt": "notes", "in": "introduction", "bg": "creative_background", "ap": "appreciation", "im": "images", "src": "source", "asrc": "more_sources", "lic": "licence", "u": "updated"}
@@ -77,3 +78,29 @@ def repaired(lines: DataFrame, repairs: DataFrame) -> DataFrame:
 
 def cost(usage: DataFrame, per_million_in: float, per_million_out: float) -> DataFrame:
     return usage.agg(F.sum("tokens_in").alias("tokens_in"), F.sum("tokens_out").alias("tokens_out"), ((F.sum("tokens_in") * per_million_in + F.sum("tokens_out") * per_million_out) / 1e6).alias("cost"))
+
+
+def attached(works: DataFrame, side: DataFrame, key: str, value: str, order: str) -> DataFrame:
+    """works with a side table's value; of several the last by order counts (of equal ones the largest), works without any keep null."""
+    last = side.groupBy(key).agg(F.max_by(value, F.struct(order, value)).alias(value))
+    return works.join(last, key, "left")
+
+
+def completeness(works: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    """n_keys of the side table, and n_joined of them that are works."""
+    there = works.select(key).distinct().withColumn("_there", F.lit(True))
+    return side.select(key).distinct().join(there, key, "left").agg(F.count("*").alias("n_keys"), F.count("_there").alias("n_joined"))
+
+
+def sized_shards(rows: DataFrame, key: str, size: Column, most: int, ranges: int = 64) -> DataFrame:
+    """rows with shard, from 0: in order of key, a new one after each `most` bytes. Running sums are over ranges of keys (from
+    their quantiles), then inside a range, so that no task sorts all rows."""
+    cuts = sorted(set(rows.approxQuantile(key, [k / ranges for k in range(1, ranges)], 0.01)))
+    at = F.lit(0)
+    for c in cuts:
+        at = at + (F.col(key) > c).cast("int")
+    sized = rows.withColumn("_size", size.cast("long")).withColumn("_range", at)
+    sums = sized.groupBy("_range").agg(F.sum("_size").alias("_sum"))  # `ranges` rows at most
+    before = sums.select("_range", F.coalesce(F.sum("_sum").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
+    inside = F.coalesce(F.sum("_size").over(W.partitionBy("_range").orderBy(key).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    return sized.join(F.broadcast(before), "_range").withColumn("shard", F.floor((F.col("_base") + inside) / most)).drop("_range", "_size", "_base")

@@ -688,3 +688,6 @@ def guarded_correction(spark, sf):
 def tone_slices(spark, sf):
     c = table(spark, sf, "conversations").select(F.col("conv_id").alias("work_id"), F.col("turn").alias("idx"), "text").withColumn("pattern", F.repeat(F.lit("平仄，"), 40))
     return store.running_offsets(c).select("work_id", "idx", "tones")
+
+
+from versica.plans import more  # noqa: E402,F401  registers its queries here

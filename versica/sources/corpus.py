@@ -83,14 +83,23 @@ def works(found: DataFrame, dataset: Dataset) -> DataFrame:
     return out.where(F.size("lines") > 0)
 
 
+def file_order(files: DataFrame) -> DataFrame:
+    """Distinct (dataset_no, file) with place, from 0: by collection, by name without its numbers, by the last number, by name."""
+    from pyspark.sql.window import Window as W
+
+    order = W.orderBy("dataset_no", F.regexp_replace("file", r"\d+", ""), shard_number(F.col("file")), "file")  # one row a file
+    return files.select("dataset_no", "file").distinct().withColumn("place", (F.row_number().over(order) - 1).cast("long"))
+
+
 def numbered(all_works: DataFrame) -> DataFrame:
-    """works with work_id, from 1, in order of collection, file and ordinal. Files are numbered from their counts; only
-    those few rows are sorted."""
+    """works with work_id, from 1, in order of collection, file (natural order: shard 2000 before 10000) and ordinal. Files are
+    numbered from their counts; only those few rows are sorted."""
     from pyspark.sql.window import Window as W
 
     order = F.row_number().over(W.partitionBy("dataset_no", "file").orderBy("ordinal"))
     files = all_works.groupBy("dataset_no", "file").agg(F.count("*").alias("_n"))
-    start = files.select("dataset_no", "file", F.coalesce(F.sum("_n").over(W.orderBy("dataset_no", "file").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
+    files = files.join(file_order(files), ["dataset_no", "file"])
+    start = files.select("dataset_no", "file", F.coalesce(F.sum("_n").over(W.orderBy("place").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
     return all_works.withColumn("_k", order).join(start, ["dataset_no", "file"]).withColumn("work_id", F.col("_start") + F.col("_k")).drop("_k", "_start")
 
 

@@ -33,9 +33,35 @@ def _text(steps: list[str | int]) -> str:
     return "$" + "".join(f"[{s}]" if isinstance(s, int) or s == "*" else f".{s}" for s in steps)
 
 
+def _present(record: Column, steps: list[str | int]) -> Column:
+    """Whether a record has something at these steps, JSON null included."""
+    if not steps:
+        return record.isNotNull()
+    if "*" in steps:
+        return F.get_json_object(record, _text(steps)).isNotNull()
+    holder = record if len(steps) == 1 else F.get_json_object(record, _text(steps[:-1]))
+    if isinstance(steps[-1], int):
+        return F.coalesce(F.json_array_length(holder) > steps[-1], F.lit(False))
+    return F.coalesce(F.array_contains(F.json_object_keys(holder), steps[-1]), F.lit(False))
+
+
+def _found(record: Column, steps: list[str | int]) -> Column:
+    """What is at these steps, as text; a list's member that is JSON null is null, not the text "null"."""
+    if steps and isinstance(steps[-1], int) and "*" not in steps:
+        holder = record if len(steps) == 1 else F.get_json_object(record, _text(steps[:-1]))
+        return F.get(F.from_json(holder, "array<string>"), F.lit(steps[-1]))
+    return F.get_json_object(record, _text(steps))
+
+
 def value(record: Column, path: str) -> Column:
-    """The first alternative that has a value, as text; null if none has."""
-    return F.coalesce(*[F.get_json_object(record, _text(steps)) for steps in parse(path)])
+    """The first alternative that is there, as text; one that is there as JSON null gives null. Null if none is."""
+    parts = [(_present(record, steps), _found(record, steps)) for steps in parse(path)]
+    if len(parts) == 1:
+        return parts[0][1]
+    out = F.when(*parts[0])
+    for there, found in parts[1:]:
+        out = out.when(there, found)
+    return out
 
 
 def values(record: Column, path: str) -> Column:
