@@ -24,6 +24,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import math
+from collections import OrderedDict
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -40,12 +41,13 @@ SEED, CAP = 42, 64
 #: Fingerprint words for similarity thresholds: 1024 bits tell similarities to within about 0.03.
 WORDS = 16
 #: Standard deviations, of bits that differ, that candidates may be off; members of a crowded bucket that one task compares at a time.
-LOOSE, BLOCK = 6, 1000
+LOOSE, BLOCK = 4, 1000
 #: The same for the first 64 bits, or FEW_WORDS times as many, which are looked at before whole fingerprints meet.
 LOOSE_FIRST, FEW_WORDS = 4, 4
 #: Members of a bucket that are all compared at once; segments that are looked at before the others.
 CALM, EARLY = 4, 3
-#: Bytes that are split into words at a time.
+#: Bytes of texts and hashes that a task keeps while it compares pairs; bytes that are split into words at a time.
+HELD = 16 << 20
 PIECE, SPACES = 1 << 20, frozenset(b" \t\n\v\f\r")
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)[None, :]) & 1).astype(np.float64)
 
@@ -191,7 +193,22 @@ def _alike(pairs: DataFrame, rows: DataFrame, similarity: float, shingle: int) -
     """Edges (a, b): the pairs(id, other) of rows(doc_id, text) whose sets of shingles have this Jaccard similarity or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = functools.lru_cache(16)(lambda text: np.unique(shingle_hashes(text, shingle)))
+        kept: OrderedDict[bytes, np.ndarray] = OrderedDict()
+        size = 0
+
+        def held(text: bytes) -> np.ndarray:
+            """Hashes of a text's shingles; those of the last texts, HELD bytes together, are kept."""
+            nonlocal size
+            own = kept.pop(text, None)
+            if own is None:
+                own = np.unique(shingle_hashes(text, shingle))
+                size += len(text) + own.nbytes
+            kept[text] = own
+            while size > HELD and len(kept) > 2:
+                gone, hashes = kept.popitem(last=False)
+                size -= len(gone) + hashes.nbytes
+            return own
+
         for b in batches:
             keep = []
             for x, y in zip(binary(b.column("text")), binary(b.column("other_text")), strict=True):
@@ -201,7 +218,7 @@ def _alike(pairs: DataFrame, rows: DataFrame, similarity: float, shingle: int) -
                 keep.append(not every or both / every >= similarity)
             yield pa.RecordBatch.from_arrays([b.column("other"), b.column("id")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    ids = pairs.select(F.explode(F.array("id", "other")).alias("doc_id")).distinct()
+    ids = pairs.select(F.col("id").alias("doc_id")).unionByName(pairs.select(F.col("other").alias("doc_id"))).distinct()
     texts = rows.join(ids, "doc_id", "left_semi").distinct()
     met = pairs.join(texts.select(F.col("doc_id").alias("other"), F.col("text").alias("other_text")), "other").join(texts.withColumnRenamed("doc_id", "id"), "id")
     return in_arrow(met.select("id", "other", "text", "other_text"), run, "a long, b long", 250)
