@@ -30,7 +30,7 @@ class DigestIndex:
         self.buckets = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
         self.folder = folder or new_path(spark, table)
         if not spark.catalog.tableExists(table):
-            none = spark.createDataFrame([], "digest binary, keep_id long, group_size long")
+            none = spark.range(0).selectExpr("CAST(NULL AS binary) AS digest", "id AS keep_id", "id AS group_size")
             self._append(none, self.table)
             self._append(none, self.counts)
 
