@@ -44,7 +44,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("toxicity", drop_toxic), ("line dedup", drop_lines), ("near dedup", drop_near_duplicates), ("mixing", mix_sources), ("packing", pack)]
 
-#: Nearest neighbours, fingerprints and a tokenizer are beyond SQL; the tests hold run() against brute force.
+#: Nearest neighbours, fingerprints and a tokenizer are beyond SQL. The tests hold each stage's operator against brute force; run() itself only against its stages.
 ORACLE_SQL = None
 
 
