@@ -147,3 +147,18 @@ def test_recall_on_documents(spark):
     assert all(got[i] == got[first[sets[i]]] for i in sets)
     linked = {x for p in pairs for x in p}
     assert all(got[i] == first[sets[i]] for i in sets if first[sets[i]] not in linked)  # nothing else is
+
+
+@pytest.mark.parametrize("cap", [1, simhash.CAP])
+def test_no_table_of_fingerprints_goes_through_the_driver(spark, monkeypatch, cap):
+    """Broadcasts of these failed by driver memory at 0.6 GB: their compressed files are far smaller than what they are in memory."""
+    plans, stored = [], common.stored
+
+    def noted(df, *more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, *more)
+
+    monkeypatch.setattr(common, "stored", noted)
+    monkeypatch.setattr(simhash, "stored", noted)
+    noted(simhash.component_ids(spark.read.parquet(f"{SF}/documents.parquet"), cap=cap), "out")
+    assert sum("SortMergeJoin" in p for p in plans) >= 3 and not any("BroadcastHashJoin" in p for p in plans)

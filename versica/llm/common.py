@@ -43,6 +43,11 @@ def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """df, joined by sorting: Spark goes by the size of compressed files, and would send tables of many short rows, several times as large unpacked, through the driver."""
+    return df.hint("merge")
+
+
 def delete(spark: SparkSession, path: str) -> None:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
@@ -138,10 +143,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("label")), "labels")
     for k in range(rounds):
-        near = both.join(labels, both.b == labels.node).groupBy(F.col("a").alias("at")).agg(F.min("label").alias("near"))
-        step = labels.join(near, F.col("node") == F.col("at")).select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
+        near = both.join(merged(labels), both.b == labels.node).groupBy(F.col("a").alias("at")).agg(F.min("label").alias("near"))
+        step = labels.join(merged(near), F.col("node") == F.col("at")).select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
         up = labels.select(F.col("node").alias("up"), F.col("label").alias("over"))
-        step = stored(step.join(up, F.col("label") == F.col("up")).select("node", "was", F.least("label", "over").alias("label")), f"labels{k}")
+        step = stored(step.join(merged(up), F.col("label") == F.col("up")).select("node", "was", F.least("label", "over").alias("label")), f"labels{k}")
         done = step.where("was <> label").limit(1).count() == 0
         labels = step.select("node", "label")
         if done:

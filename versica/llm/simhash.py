@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from versica.llm.common import binary, components, id_text, in_arrow, quoted, stored, unused
+from versica.llm.common import binary, components, id_text, in_arrow, merged, quoted, stored, unused
 
 SEED, CAP = 42, 64
 #: Fingerprint words for similarity thresholds: 1024 bits tell similarities to within about 0.03.
@@ -152,12 +152,12 @@ def links(fps: DataFrame, cap: int = CAP) -> DataFrame:
     probes = probes.select(F.expr("base + point").alias("key"), F.col("fp").alias("of"), F.expr("point = half").alias("same"))
     crowded = stored(table.groupBy("key").count().where(F.col("count") > cap).select("key"), "crowded")
     some = crowded.limit(1).count() > 0
-    calm = table.join(crowded, "key", "left_anti") if some else table
+    calm = table.join(merged(crowded), "key", "left_anti") if some else table
     near = F.expr("bit_count(fp ^ of) <= 2 AND (NOT same OR of < fp)")
-    edges = probes.join(calm, (probes["key"] == calm["key"]) & near).select(F.col("of").alias("a"), F.col("fp").alias("b"))
+    edges = probes.join(merged(calm), (probes["key"] == calm["key"]) & near).select(F.col("of").alias("a"), F.col("fp").alias("b"))
     if not some:
         return edges
-    within = probes.join(crowded, "key", "left_semi").select(F.col("of").alias("fp")).distinct()
+    within = probes.join(merged(crowded), "key", "left_semi").select(F.col("of").alias("fp")).distinct()
     points = within.select("fp", F.expr("explode(concat(array(fp), transform(sequence(0, 63), i -> fp ^ shiftleft(1L, i))))").alias("point"))
     meets = points.groupBy("point").agg(F.collect_set("fp").alias("met")).where(F.size("met") > 1)  # 65 at most
     stars = meets.select(F.array_min("met").alias("a"), F.explode("met").alias("b")).where("a <> b")
@@ -169,11 +169,11 @@ def component_ids(docs: DataFrame, shingle: int = 3, cap: int = CAP, id_col: str
     of = stored(fingerprints(id_text(docs, id_col, text_col), shingle).withColumnRenamed("fp0", "fp"), "fingerprints")
     classes = stored(of.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
     labels = components(links(classes.select("fp"), cap))
-    grouped = labels.join(classes, labels.node == classes.fp)
+    grouped = labels.join(merged(classes), labels.node == classes.fp)
     least = grouped.groupBy("label").agg(F.min("first").alias("least"))
-    linked = stored(labels.join(least, "label").select(F.col("node").alias("fp"), "least"), "linked")
-    ids = classes.join(linked, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
-    return of.join(ids, "fp").select("doc_id", "fp", "component_id")
+    linked = stored(labels.join(merged(least), "label").select(F.col("node").alias("fp"), "least"), "linked")
+    ids = classes.join(merged(linked), "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
+    return of.join(merged(ids), "fp").select("doc_id", "fp", "component_id")
 
 
 def differing(similarity: float) -> float:
