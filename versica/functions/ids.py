@@ -25,10 +25,14 @@ def name_of(value: Column, codes: dict[str, int]) -> Column:
     return F.create_map(*[F.lit(x) for k, v in codes.items() for x in (v, k)])[value.cast("int")]
 
 
+def joined_bits(dynasty: Column, kind: Column, sequence: Column) -> Column:
+    """The packed id, unchecked: a sequence beyond its bits runs into those of kind and dynasty."""
+    return F.shiftleft(dynasty.cast("long"), DYNASTY_SHIFT).bitwiseOR(F.shiftleft(kind.cast("long"), KIND_SHIFT)).bitwiseOR(sequence.cast("long"))
+
+
 def make_id(dynasty: Column, kind: Column, sequence: Column) -> Column:
     """The packed id of codes and a sequence number; an overflow raises instead of wrapping."""
-    packed = F.shiftleft(dynasty.cast("long"), DYNASTY_SHIFT).bitwiseOR(F.shiftleft(kind.cast("long"), KIND_SHIFT)).bitwiseOR(sequence.cast("long"))
-    return F.when((sequence < 0) | (sequence > SEQUENCE_MOST), F.raise_error(F.concat(F.lit("sequence out of range: "), sequence.cast("string"))).cast("long")).otherwise(packed)
+    return F.when((sequence < 0) | (sequence > SEQUENCE_MOST), F.raise_error(F.concat(F.lit("sequence out of range: "), sequence.cast("string"))).cast("long")).otherwise(joined_bits(dynasty, kind, sequence))
 
 
 def dynasty_of(packed: Column) -> Column:
