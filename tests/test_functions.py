@@ -125,6 +125,6 @@ def same_as_sql(spark, path, name):
     assert want.fetchall() and sorted(map(tuple, got.collect())) == sorted(con.sql(SQL[name]).fetchall())
 
 
-@pytest.mark.parametrize("name", ["dynasty_histogram", "id_pack_parse"])
+@pytest.mark.parametrize("name", ["dynasty_histogram", "id_pack_parse", "id_range_filter"])
 def test_keys_larger_than_a_sequence(spark, large_keys, name):
     same_as_sql(spark, large_keys, name)
