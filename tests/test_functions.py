@@ -128,3 +128,12 @@ def same_as_sql(spark, path, name):
 @pytest.mark.parametrize("name", ["dynasty_histogram", "id_pack_parse", "id_range_filter"])
 def test_keys_larger_than_a_sequence(spark, large_keys, name):
     same_as_sql(spark, large_keys, name)
+
+
+def test_next_ids_of_full_segments(spark, large_keys):
+    from versica.operators import store
+
+    same_as_sql(spark, large_keys, "next_id")
+    full = spark.createDataFrame([((4 << 26) | (1 << 23) | ids.SEQUENCE_MOST,)], "id long")
+    with pytest.raises(Exception, match="sequence out of range"):
+        store.next_ids(full).collect()

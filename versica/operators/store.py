@@ -9,8 +9,10 @@ from pyspark.sql.window import Window as W
 from versica.functions import ids
 
 
-def next_ids(works: DataFrame, packed: str = "id") -> DataFrame:
-    """dynasty, kind, next_id: one past the largest sequence of each segment."""
+def next_ids(works: DataFrame, packed: str = "id", checked: bool = True) -> DataFrame:
+    """dynasty, kind, next_id: one past the largest sequence of each segment; a full segment raises. Unchecked: one past its largest id."""
+    if not checked:
+        return works.groupBy(ids.dynasty_of(F.col(packed)).alias("dynasty"), ids.kind_of(F.col(packed)).alias("kind")).agg((F.max(packed) + 1).alias("next_id"))
     seg = works.select(ids.dynasty_of(F.col(packed)).alias("dynasty"), ids.kind_of(F.col(packed)).alias("kind"), ids.sequence_of(F.col(packed)).alias("s"))
     return seg.groupBy("dynasty", "kind").agg(F.max("s").alias("last")).select("dynasty", "kind", ids.make_id(F.col("dynasty"), F.col("kind"), F.col("last") + 1).alias("next_id"))
 
