@@ -158,6 +158,7 @@ def test_no_table_of_fingerprints_goes_through_the_driver(spark, monkeypatch, ca
         plans.append(df._jdf.queryExecution().executedPlan().toString())
         return stored(df, *more)
 
+    monkeypatch.setattr(common, "FEW_NODES", -1)
     monkeypatch.setattr(common, "stored", noted)
     monkeypatch.setattr(simhash, "stored", noted)
     noted(simhash.component_ids(spark.read.parquet(f"{SF}/documents.parquet"), cap=cap), "out")

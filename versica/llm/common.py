@@ -133,6 +133,10 @@ def binary(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
+#: Nodes of a graph beyond which its labels are joined by sorting; fewer may be broadcast.
+FEW_NODES = 100_000
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of edges(a long, b long): (node, label), label the smallest node reachable.
 
@@ -142,11 +146,12 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     edges = edges.where("a <> b")
     both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("label")), "labels")
+    sent = (lambda df: df) if labels.count() <= FEW_NODES else merged
     for k in range(rounds):
-        near = both.join(merged(labels), both.b == labels.node).groupBy(F.col("a").alias("at")).agg(F.min("label").alias("near"))
-        step = labels.join(merged(near), F.col("node") == F.col("at")).select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
+        near = both.join(sent(labels), both.b == labels.node).groupBy(F.col("a").alias("at")).agg(F.min("label").alias("near"))
+        step = labels.join(sent(near), F.col("node") == F.col("at")).select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
         up = labels.select(F.col("node").alias("up"), F.col("label").alias("over"))
-        step = stored(step.join(merged(up), F.col("label") == F.col("up")).select("node", "was", F.least("label", "over").alias("label")), f"labels{k}")
+        step = stored(step.join(sent(up), F.col("label") == F.col("up")).select("node", "was", F.least("label", "over").alias("label")), f"labels{k}")
         done = step.where("was <> label").limit(1).count() == 0
         labels = step.select("node", "label")
         if done:
