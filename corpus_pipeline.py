@@ -1,7 +1,8 @@
 """A corpus in five stages: toxic documents go, repeated lines go, near duplicates go, sources are mixed, sequences are packed.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each as Parquet in the shared folder and reads
-it again for the next. All but the last return the columns of documents.
+it again for the next. All but the last return the columns of documents. Before a stage, executors give back the memory that the one
+before has left; before the mixture is written, also what its plan has left.
 """
 
 from __future__ import annotations
@@ -10,11 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from versica.llm import line_dedup, mixing, packing, simhash, toxicity
-from versica.llm.common import documents, new_path, same_columns, scratch, stored
+from versica.llm.common import documents, give_back, new_path, same_columns, scratch, stored
 from versica.llm.queries import tokenizer_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    give_back(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = toxicity.score(docs, model)
     return scored.where(F.col(scored.columns[-2]) == 0).select(*same_columns(docs))
@@ -22,6 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """n_chars follows the text where lines went."""
+    give_back(spark)
     out = line_dedup.dedup_lines(docs)
     if "n_chars" in docs.columns:
         changed = F.when(F.col(out.columns[-1]) > 0, F.length("text")).otherwise(F.col("n_chars"))
@@ -30,15 +33,20 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    give_back(spark)
     return simhash.keep_one(docs, similarity=0.8, shingle=5)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every source once at least, and none more than twice as often as another."""
-    return mixing.mix(docs, repeats=2.0)
+    give_back(spark)
+    mixed = mixing.mix(docs, repeats=2.0)
+    give_back(spark)
+    return mixed
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    give_back(spark)
     return packing.pack(docs, tokenizer_path())
 
 

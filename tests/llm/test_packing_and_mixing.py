@@ -128,3 +128,11 @@ def test_mixing_of_odd_rows(odd, empty):
     mixed = mixing.mix(odd)
     assert mixed.columns == odd.columns and {r.doc_id for r in mixed.collect()} == {r.doc_id for r in odd.collect()}
     assert mixing.mix(empty).count() == 0
+
+
+def test_the_mixture_sorts_no_text_by_id(spark):
+    docs = spark.createDataFrame([(i, f"w{i} " * (i % 7 + 1), f"s{i % 3}") for i in range(50)], "doc_id long, text string, source string")
+    mixed = mixing.mix(docs, repeats=2.0)
+    mixed.collect()
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin [coalesce" not in plan

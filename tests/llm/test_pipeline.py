@@ -24,3 +24,13 @@ def test_stages_of_odd_rows(spark, odd, empty, tmp_path):
         for _, stage in corpus_pipeline.STAGES:
             docs = stored(stage(spark, docs, str(tmp_path)), "stage")
         assert (docs.count() > 0) == (first is odd)
+
+
+def test_memory_is_given_back(spark):
+    from versica.llm.common import give_back
+
+    beans = spark._jvm.java.lang.management.ManagementFactory
+    count = lambda: sum(b.getCollectionCount() for b in beans.getGarbageCollectorMXBeans())
+    before = count()
+    give_back(spark)
+    assert count() > before + 4  # without it, none or one

@@ -163,3 +163,27 @@ def test_no_table_of_fingerprints_goes_through_the_driver(spark, monkeypatch, ca
     monkeypatch.setattr(simhash, "stored", noted)
     noted(simhash.component_ids(spark.read.parquet(f"{SF}/documents.parquet"), cap=cap), "out")
     assert sum("SortMergeJoin" in p for p in plans) >= 3 and not any("BroadcastHashJoin" in p for p in plans)
+
+
+def test_a_pair_of_many_crowded_buckets_is_a_candidate_once(spark, monkeypatch):
+    """Near copies just under the similarity meet in many buckets, and no chain joins them."""
+    made, write = {}, simhash.stored
+
+    def seen(df, name, path=None):
+        if name == "rest":
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            made["once"] = "array_intersect" in plan
+        return write(df, name, path)
+
+    monkeypatch.setattr(simhash, "stored", seen)
+    base = [f"w{i}" for i in range(120)]
+    texts = [" ".join(base[:k] + [f"x{j}"] + base[k + 1 :]) for j, k in enumerate(range(0, 120, 6))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    groups = dict(simhash.near_duplicates(docs, 0.95).collect())
+    sets = {i: jaccard_set(t) for i, t in enumerate(texts)}
+    assert made["once"] and all(groups[i] == i for i in sets if all(len(sets[i] & o) / len(sets[i] | o) < 0.95 for k, o in sets.items() if k != i))
+
+
+def jaccard_set(text, n=5):
+    words = text.split()
+    return {tuple(words[k : k + n]) for k in range(len(words) - n + 1)}

@@ -48,6 +48,13 @@ def merged(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def give_back(spark: SparkSession) -> None:
+    """Executors collect their garbage, and give the heap that this frees back to their machines. Else what earlier jobs have left stays
+    with them beside the memory of Python workers, Arrow and the network. A few tasks for each core, so that every executor gets some."""
+    n = 4 * spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).select(F.expr("java_method('java.lang.System', 'gc')").alias("gone")).write.format("noop").mode("overwrite").save()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -154,6 +154,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", **parameters) -> DataFrame:
     key, epoch, turn, place = unused(docs, "_mixed", "_epoch", "_turn", "_place")
     chosen = _placed(docs, id_col=id_col, **parameters)
     chosen = chosen.select(F.col("doc_id").alias(key), F.col("epoch").alias(epoch), F.col("turn").alias(turn), F.col("place").alias(place))
+    chosen = chosen.hint("shuffle_hash")  # short rows, one for each epoch of an id; sorting by id too would hold every text twice
     met = docs.join(chosen, F.col(quoted(id_col)).cast("long").eqNullSafe(F.col(key)))
     return met.sortWithinPartitions(epoch, turn, place).select(*same_columns(docs))
 

@@ -295,12 +295,14 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5,
     crowded = functools.reduce(DataFrame.unionByName, crowds).join(labels, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("label", "id").alias("label"))
     mixed = crowded.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"))
     some = print_[:FEW_WORDS]
-    members = crowded.join(mixed, "key").withColumn("block", F.expr("pmod(xxhash64(id), blocks)"))
-    members = stored(members.join(left.select("id", *some), "id"), "members")
-    mine = members.select("key", "id", "label", *some, F.col("block").alias("own"), F.expr("explode(sequence(block, blocks - 1))").alias("block"))
-    theirs = members.select("key", "block", F.col("id").alias("other"), F.col("label").alias("other_label"), *[F.col(c).alias(f"o_{c}") for c in some])
-    apart = (F.col("label") != F.col("other_label")) & ((F.col("own") < mine["block"]) | (F.col("id") < F.col("other"))) & (differ(some) <= at_most(64 * len(some), LOOSE_FIRST))
-    rest = mine.join(theirs, (mine["key"] == theirs["key"]) & (mine["block"] == theirs["block"]) & apart)
+    members = stored(crowded.join(mixed, "key").withColumn("block", F.expr("pmod(xxhash64(id), blocks)")), "members")
+    buckets = members.groupBy("id").agg(F.collect_set("key").alias("keys"))
+    members = stored(members.join(buckets, "id").join(left, "id"), "prints")
+    mine = members.select("key", "keys", "id", "label", *print_, F.col("block").alias("own"), F.expr("explode(sequence(block, blocks - 1))").alias("block"))
+    theirs = members.select("key", F.col("keys").alias("o_keys"), "block", F.col("id").alias("other"), F.col("label").alias("other_label"), *[F.col(c).alias(f"o_{c}") for c in print_])
+    apart = (F.col("label") != F.col("other_label")) & ((F.col("own") < mine["block"]) | (F.col("id") < F.col("other"))) & (differ(some) <= at_most(64 * len(some), LOOSE_FIRST)) & close
+    once = F.array_min(F.array_intersect("keys", "o_keys")) == mine["key"]  # a pair that meets in many buckets comes from the first
+    rest = mine.join(theirs, (mine["key"] == theirs["key"]) & (mine["block"] == theirs["block"]) & apart & once)
     labels = linked(rest.select(F.greatest("id", "other").alias("id"), F.least("id", "other").alias("other")).distinct(), labels, "rest")
 
     ids = classes.select("class", "id").join(labels, F.col("id") == F.col("node"), "left").select("class", F.coalesce("label", "id").alias("group_id"))
