@@ -1,8 +1,8 @@
 """A corpus in five stages: toxic documents go, repeated lines go, near duplicates go, sources are mixed, sequences are packed.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each as Parquet in the shared folder and reads
-it again for the next. All but the last return the columns of documents. Before a stage, executors give back the memory that the one
-before has left; before the mixture is written, also what its plan has left.
+it again for the next. All but the last return the columns of documents. Before a stage, executors and driver give back the memory that
+the one before has left; before the mixture is written, also what its plan has left.
 """
 
 from __future__ import annotations

@@ -34,3 +34,15 @@ def test_memory_is_given_back(spark):
     before = count()
     give_back(spark)
     assert count() > before + 4  # without it, none or one
+
+
+def test_driver_gives_memory_back(spark, odd):
+    from versica.llm.common import driver_gives_back
+    from versica.llm.simhash import near_duplicates
+
+    beans = spark._jvm.java.lang.management.ManagementFactory
+    full = lambda: sum(b.getCollectionCount() for b in beans.getGarbageCollectorMXBeans() if not any(x in b.getName() for x in ("Young", "Concurrent")))
+    assert "native heap" in driver_gives_back(spark)  # this image's JVM has the command
+    before = full()
+    near_duplicates(odd).count()
+    assert full() >= before + 4  # none without it: what near dedup leaves stayed until the heap was full

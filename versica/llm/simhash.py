@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from versica.llm.common import binary, components, id_text, in_arrow, merged, quoted, stored, unused
+from versica.llm.common import binary, components, driver_gives_back, id_text, in_arrow, merged, quoted, stored, unused
 
 SEED, CAP = 42, 64
 #: Fingerprint words for similarity thresholds: 1024 bits tell similarities to within about 0.03.
@@ -274,12 +274,14 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5,
     def linked(pairs: DataFrame, labels: DataFrame | None, name: str) -> DataFrame:
         """Labels of the components when the pairs that are alike are links too."""
         met = stored(pairs.join(left, "id").join(right, "other").where(close).select("id", "other"), name)
+        driver_gives_back(docs.sparkSession)  # plans of many small jobs pile up there
         edges = _alike(met, rows, similarity, shingle)
         if labels is None:
             return components(edges)
         over = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
         edges = edges.join(over("a"), "a", "left").join(over("b"), "b", "left").select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b"))
         more = components(edges)
+        driver_gives_back(docs.sparkSession)
         nodes = labels.select("node", "label").unionByName(more.join(labels.select("node"), "node", "left_anti").select("node", F.col("node").alias("label")))
         joined = nodes.join(more.select(F.col("node").alias("was"), F.col("label").alias("now")), F.col("label") == F.col("was"), "left")
         return stored(joined.select("node", F.coalesce("now", "label").alias("label")), f"{name}_labels")
@@ -295,6 +297,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5,
     crowded = functools.reduce(DataFrame.unionByName, crowds).join(labels, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("label", "id").alias("label"))
     mixed = crowded.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"))
     some = print_[:FEW_WORDS]
+    driver_gives_back(docs.sparkSession)
     members = stored(crowded.join(mixed, "key").withColumn("block", F.expr("pmod(xxhash64(id), blocks)")), "members")
     buckets = members.groupBy("id").agg(F.collect_set("key").alias("keys"))
     members = stored(members.join(buckets, "id").join(left, "id"), "prints")

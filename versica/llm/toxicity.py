@@ -108,7 +108,8 @@ def _alike(x: np.ndarray, size: int) -> np.ndarray:
         if len(own) <= size:
             done.append(own)
             continue
-        rows = x[own] - x[own].mean(axis=0)
+        rows = x[own]
+        rows -= rows.mean(axis=0)
         along = rows[np.argmax(np.einsum("ij,ij->i", rows, rows))]
         for _ in range(6):
             along = (rows @ along) @ rows
@@ -135,6 +136,7 @@ class Index:
             shape = np.zeros((len(ids), len(common)), np.float32)
             shape[at[held], column[terms[held]]] = weights[held]
             order = _alike(shape, BLOCK)
+            del shape, held
         place = np.empty(len(ids), np.int64)
         place[order] = np.arange(len(ids))
         self.ids, self.labels, self.class_weights = ids[order], labels[order], np.array(class_weights)[labels[order]]
