@@ -187,3 +187,17 @@ def test_a_pair_of_many_crowded_buckets_is_a_candidate_once(spark, monkeypatch):
 def jaccard_set(text, n=5):
     words = text.split()
     return {tuple(words[k : k + n]) for k in range(len(words) - n + 1)}
+
+
+def test_pairs_of_crowded_buckets_are_compared_once(spark, monkeypatch):
+    """They have met with whole fingerprints: these are not joined to them again."""
+    tops, write = [], simhash.stored
+
+    def seen(df, name, path=None):
+        if name == "rest":
+            tops.append(df._jdf.queryExecution().optimizedPlan().nodeName())
+        return write(df, name, path)
+
+    monkeypatch.setattr(simhash, "stored", seen)
+    docs = spark.createDataFrame([(i, "one two three four five six " * 3 + f"x{i % 2}") for i in range(6)], "doc_id long, text string")
+    assert simhash.near_duplicates(docs).count() == 6 and tops == ["Aggregate"]

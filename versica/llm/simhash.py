@@ -271,9 +271,9 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5,
         at = at.select("id", "fp0", "label", F.expr(f"(part + {first}) * {1 << width}L").alias("base"), F.explode(F.expr(_ball("value", width))).alias("point"))
         return at.select((F.col("base") + F.col("point")).alias("key"), "id", "fp0", "label")
 
-    def linked(pairs: DataFrame, labels: DataFrame | None, name: str) -> DataFrame:
-        """Labels of the components when the pairs that are alike are links too."""
-        met = stored(pairs.join(left, "id").join(right, "other").where(close).select("id", "other"), name)
+    def linked(pairs: DataFrame, labels: DataFrame | None, name: str, compared: bool = False) -> DataFrame:
+        """Labels of the components when the pairs that are alike are links too. compared: whole fingerprints of the pairs are known to be close."""
+        met = stored(pairs if compared else pairs.join(left, "id").join(right, "other").where(close).select("id", "other"), name)
         driver_gives_back(docs.sparkSession)  # plans of many small jobs pile up there
         edges = _alike(met, rows, similarity, shingle)
         if labels is None:
@@ -306,7 +306,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5,
     apart = (F.col("label") != F.col("other_label")) & ((F.col("own") < mine["block"]) | (F.col("id") < F.col("other"))) & (differ(some) <= at_most(64 * len(some), LOOSE_FIRST)) & close
     once = F.array_min(F.array_intersect("keys", "o_keys")) == mine["key"]  # a pair that meets in many buckets comes from the first
     rest = mine.join(theirs, (mine["key"] == theirs["key"]) & (mine["block"] == theirs["block"]) & apart & once)
-    labels = linked(rest.select(F.greatest("id", "other").alias("id"), F.least("id", "other").alias("other")).distinct(), labels, "rest")
+    labels = linked(rest.select(F.greatest("id", "other").alias("id"), F.least("id", "other").alias("other")).distinct(), labels, "rest", compared=True)
 
     ids = classes.select("class", "id").join(labels, F.col("id") == F.col("node"), "left").select("class", F.coalesce("label", "id").alias("group_id"))
     return of.select("doc_id", "class").join(ids, "class").select("doc_id", "group_id")
