@@ -300,7 +300,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5,
     driver_gives_back(docs.sparkSession)
     members = stored(crowded.join(mixed, "key").withColumn("block", F.expr("pmod(xxhash64(id), blocks)")), "members")
     buckets = members.groupBy("id").agg(F.collect_set("key").alias("keys"))
-    members = stored(members.join(buckets, "id").join(left, "id"), "prints")
+    members = stored(members.join(buckets.join(left, "id"), "id"), "prints")
     mine = members.select("key", "keys", "id", "label", *print_, F.col("block").alias("own"), F.expr("explode(sequence(block, blocks - 1))").alias("block"))
     theirs = members.select("key", F.col("keys").alias("o_keys"), "block", F.col("id").alias("other"), F.col("label").alias("other_label"), *[F.col(c).alias(f"o_{c}") for c in print_])
     apart = (F.col("label") != F.col("other_label")) & ((F.col("own") < mine["block"]) | (F.col("id") < F.col("other"))) & (differ(some) <= at_most(64 * len(some), LOOSE_FIRST)) & close
